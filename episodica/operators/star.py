@@ -16,15 +16,16 @@ def lookup(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"how must be inner or left, not {how!r}")
-    role = dim.select(F.col(dim_key).alias("_key"), *[F.col(c).alias(out) for out, c in columns.items()])
-    return fact.join(role, F.col(fact_key) == F.col("_key"), how).drop("_key")
+    role = dim.selectExpr(f"`{dim_key}` AS _key", *[f"`{c}` AS `{out}`" for out, c in columns.items()])
+    return fact.join(role, F.expr(f"`{fact_key}` = _key"), how).drop("_key")
 
 
 def with_child(parent: DataFrame, children: DataFrame, parent_key: str, child_key: str) -> DataFrame:
     """Parents that have at least one child row, each once.
 
     Children are reduced to distinct keys before the shuffle, so a parent with very many children costs one row per
-    map task; the semi-join reuses that partitioning.
+    map task. On distinct keys an inner join keeps the same rows as a semi-join; a semi-join would be pushed below the
+    parent's dimension joins, and the parent would shuffle before they filter it.
     """
-    keys = children.select(F.col(child_key).alias("_key")).distinct()
-    return parent.join(keys, F.col(parent_key) == F.col("_key"), "left_semi")
+    keys = children.selectExpr(f"`{child_key}` AS _key").distinct()
+    return parent.join(keys, F.expr(f"`{parent_key}` = _key"), "inner").drop("_key")

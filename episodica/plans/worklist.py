@@ -70,11 +70,20 @@ class Rule:
         return F.lit(self.as_of)
 
 
+def in_key_range(days: DataFrame) -> Column:
+    """Filter on a fact's ``co_dim_tempo``: inside the lowest and highest key of these days.
+
+    Two literals, so scans can skip partitions and row groups by it; the inner join to the days decides.
+    """
+    lowest, highest = days.agg(F.min("co_seq_dim_tempo"), F.max("co_seq_dim_tempo")).first()
+    return F.col("co_dim_tempo").between(F.lit(lowest), F.lit(highest))
+
+
 def problem_groups(t: Tables, groups: dict[str, tuple[list[str], list[str]]]) -> DataFrame:
     """(attendance_id, group) for problem rows whose CIAP or CID code is listed for the group."""
 
     def listed(dim: DataFrame, code: str, position: int) -> DataFrame:
-        group = F.coalesce(*[F.when(in_codes(F.col(code), c[position]), F.lit(g)) for g, c in groups.items()])
+        group = F.coalesce(*[F.when(in_codes(code, c[position]), F.lit(g)) for g, c in groups.items()])
         return dim.withColumn("group", group).where(F.col("group").isNotNull())
 
     rows = t["tb_fat_atd_ind_problemas"]
@@ -90,11 +99,9 @@ def qualifying_attendances(t: Tables, rule: Rule) -> DataFrame:
     """Attendances of the lookback period by a listed occupation with at least one listed problem, one row each."""
     time = t["tb_dim_tempo"]
     recent = time.where(lookback(F.col("dt_registro"), rule.today, rule.lookback_days))
-    lowest, highest = (recent.select(bound("co_seq_dim_tempo")).scalar() for bound in (F.min, F.max))
     occupations = t["tb_dim_cbo"].where(starts_with_any(F.col("nu_cbo"), codes.COHORT_OCCUPATIONS))
 
-    # The key range lets the scan skip row groups; the inner join to the recent dates decides.
-    rows = t["tb_fat_atendimento_individual"].where(F.col("co_dim_tempo").between(lowest, highest))
+    rows = t["tb_fat_atendimento_individual"].where(in_key_range(recent))
     rows = lookup(rows, recent, "co_dim_tempo", "co_seq_dim_tempo", {"event_date": "dt_registro"}, "inner")
     rows = lookup(rows, occupations, "co_dim_cbo_1", "co_seq_dim_cbo", {}, "inner")
     reported = {"reported_start": "dt_registro", "reported_year": "nu_ano"}
@@ -268,42 +275,42 @@ def responsible(t: Tables, members: DataFrame, prune: Prune) -> DataFrame:
 
 
 def episode_events(t: Tables, prune: Prune, first_day: datetime.date | None, last_day: datetime.date | None):
-    """All events the flags ask for, in one long table: citizen_id, day, flag."""
+    """All events the flags ask for, in one long table: citizen_id, day, flag.
+
+    ``first_day`` and ``last_day`` bound the episodes of the whole cohort; no flag looks outside.
+    """
+    days = t["tb_dim_tempo"].where(F.col("dt_registro").between(F.lit(first_day), F.lit(last_day)))
+    in_range = in_key_range(days)
+
+    def timely(fact: str) -> DataFrame:
+        return prune(t[fact].where(in_range), "co_fat_cidadao_pec")
 
     def tests(fact: str, procedure: str, occupation: str, sets: dict[str, list[str]]) -> DataFrame:
-        code = F.col("co_proced")
-        flag = F.coalesce(*[F.when(in_codes(code, listed), F.lit(name)) for name, listed in sets.items()])
+        flag = F.coalesce(*[F.when(in_codes("co_proced", listed), F.lit(name)) for name, listed in sets.items()])
         procedures = t["tb_dim_procedimento"].withColumn("flag", flag).where(F.col("flag").isNotNull())
         occupations = t["tb_dim_cbo"].where(starts_with_any(F.col("nu_cbo"), codes.TEST_OCCUPATIONS))
-        rows = lookup(t[fact], procedures, procedure, "co_seq_dim_procedimento", {"flag": "flag"}, "inner")
+        rows = lookup(timely(fact), procedures, procedure, "co_seq_dim_procedimento", {"flag": "flag"}, "inner")
         return lookup(rows, occupations, occupation, "co_seq_dim_cbo", {}, "inner")
 
     standalone = {"hiv": codes.HIV_STANDALONE, "syphilis": codes.SYPHILIS_STANDALONE}
     evaluated = {"hiv": codes.HIV_EVALUATED, "syphilis": codes.SYPHILIS_EVALUATED}
     dentists = t["tb_dim_cbo"].where(starts_with_any(F.col("nu_cbo"), codes.DENTAL_OCCUPATIONS))
-    dental = lookup(t["tb_fat_atendimento_odonto"], dentists, "co_dim_cbo_1", "co_seq_dim_cbo", {}, "inner")
+    dental = lookup(timely("tb_fat_atendimento_odonto"), dentists, "co_dim_cbo_1", "co_seq_dim_cbo", {}, "inner")
     outcomes = problem_groups(
         t, {"loss": (codes.LOSS_CIAP, codes.LOSS_CID), "birth": (codes.BIRTH_CIAP, codes.BIRTH_CID)}
     ).distinct()
-    attendances = prune(t["tb_fat_atendimento_individual"], "co_fat_cidadao_pec").select(
+    attendances = timely("tb_fat_atendimento_individual").select(
         "co_seq_fat_atd_ind", "co_fat_cidadao_pec", "co_dim_tempo"
     )
     outcomes = attendances.join(outcomes, F.col("co_seq_fat_atd_ind") == F.col("attendance_id"), "inner")
 
     sources = [
-        prune(dental.withColumn("flag", F.lit("dental")), "co_fat_cidadao_pec"),
-        prune(
-            tests("tb_fat_proced_atend_proced", "co_dim_procedimento", "co_dim_cbo", standalone), "co_fat_cidadao_pec"
-        ),
-        prune(
-            tests("tb_fat_atd_ind_procedimentos", "co_dim_procedimento_avaliado", "co_dim_cbo_1", evaluated),
-            "co_fat_cidadao_pec",
-        ),
+        dental.withColumn("flag", F.lit("dental")),
+        tests("tb_fat_proced_atend_proced", "co_dim_procedimento", "co_dim_cbo", standalone),
+        tests("tb_fat_atd_ind_procedimentos", "co_dim_procedimento_avaliado", "co_dim_cbo_1", evaluated),
         outcomes.withColumnRenamed("group", "flag"),
     ]
     long = reduce(DataFrame.unionByName, [s.select("co_fat_cidadao_pec", "co_dim_tempo", "flag") for s in sources])
-    # No interval of the cohort reaches outside these days.
-    days = t["tb_dim_tempo"].where(F.col("dt_registro").between(F.lit(first_day), F.lit(last_day)))
     dated = lookup(long, days, "co_dim_tempo", "co_seq_dim_tempo", {"day": "dt_registro"}, "inner")
     return dated.select(F.col("co_fat_cidadao_pec").alias("citizen_id"), "day", "flag")
 
