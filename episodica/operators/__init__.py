@@ -1,6 +1,6 @@
 """DataFrame operators; all take column names and an explicit ``as_of`` where dates matter."""
 
-from episodica.operators.flags import dates_by_flag, flag_columns, with_flags
+from episodica.operators.flags import flags_of_ids, with_flags
 from episodica.operators.identity import members_of, merge_ids
 from episodica.operators.latest import best_of, latest_by
 from episodica.operators.snapshot import write_snapshot
@@ -11,9 +11,8 @@ __all__ = [
     "attach",
     "attach_first_so_far",
     "best_of",
-    "dates_by_flag",
     "earliest",
-    "flag_columns",
+    "flags_of_ids",
     "latest_by",
     "lookup",
     "members_of",

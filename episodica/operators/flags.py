@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episodica.functions.dates import within
+from episodica.operators.identity import merge_ids
 
 
-def dates_by_flag(flags: Iterable[str], flag: str = "flag", day: str = "day") -> dict[str, Column]:
+def dates_by_flag(flags: Iterable[str]) -> dict[str, Column]:
     """Aggregates: the distinct days of each flag as an array."""
-    return {f"_days_{f}": F.collect_set(F.when(F.col(flag) == f, F.col(day))) for f in flags}
+    return {f"_days_{f}": F.collect_set(F.when(F.col("flag") == f, F.col("day"))) for f in flags}
 
 
 def flag_columns(flags: Iterable[str], start: str, end: str) -> dict[str, Column]:
@@ -36,3 +37,29 @@ def with_flags(
     return cases.join(days, list(key), "left").withColumns(flag_columns(flags, start, end)).drop(
         *[f"_days_{f}" for f in flags]
     )
+
+
+def flags_of_ids(
+    events: DataFrame,
+    event_id: str,
+    members: DataFrame,
+    member_id: str,
+    case: str,
+    start: str,
+    end: str,
+    flags: Sequence[str],
+) -> DataFrame:
+    """Per case with any event: one boolean per flag over the events of all its member ids.
+
+    ``events`` has the id column, ``day`` and ``flag``; ``members`` has the ids with their case and its bounds.
+    """
+    return merge_ids(
+        events,
+        event_id,
+        members,
+        member_id,
+        [case],
+        per_id=dates_by_flag(flags),
+        derived=flag_columns(flags, start, end),
+        merged={f: F.bool_or(f) for f in flags},
+    )

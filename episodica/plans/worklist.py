@@ -33,9 +33,8 @@ from episodica.functions import (
 )
 from episodica.operators import (
     best_of,
-    dates_by_flag,
     earliest,
-    flag_columns,
+    flags_of_ids,
     lookup,
     members_of,
     merge_ids,
@@ -315,20 +314,6 @@ def episode_events(t: Tables, prune: Prune, first_day: datetime.date | None, las
     return dated.select(F.col("co_fat_cidadao_pec").alias("citizen_id"), "day", "flag")
 
 
-def event_flags(events: DataFrame, members: DataFrame) -> DataFrame:
-    """Per case: which flags have an event of any of the person's ids between start and due date."""
-    return merge_ids(
-        events,
-        "citizen_id",
-        members,
-        "member_id",
-        ["case_id"],
-        per_id=dates_by_flag(FLAGS),
-        derived=flag_columns(FLAGS, "start", "due"),
-        merged={f: F.bool_or(f) for f in FLAGS},
-    )
-
-
 def present(cases: DataFrame, rule: Rule, built_at: Column | None = None) -> DataFrame:
     """The 28 output columns, in order."""
     flag = {f: F.coalesce(F.col(f), F.lit(False)) for f in FLAGS}
@@ -381,5 +366,6 @@ def worklist(spark: SparkSession, t: Tables, rule: Rule, built_at: Column | None
     prune = Prune(members, found["count"], rule.broadcast_members)
 
     lookups = responsible(t, members, prune)
-    flags = event_flags(episode_events(t, prune, found["first"], last_day), members)
+    events = episode_events(t, prune, found["first"], last_day)
+    flags = flags_of_ids(events, "citizen_id", members, "member_id", "case_id", "start", "due", FLAGS)
     return present(cases.join(lookups, "case_id", "left").join(flags, "case_id", "left"), rule, built_at)
