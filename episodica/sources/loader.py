@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.sources.schemas import SCHEMAS
+from episodica.sources.schemas import SCHEMAS, columns
 
 Tables = Mapping[str, DataFrame]
 
@@ -28,7 +28,7 @@ JDBC_SPLIT_KEYS = {
 
 def conform(df: DataFrame, name: str) -> DataFrame:
     """Only the declared columns, in declared types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in SCHEMAS[name].fields])
+    return df.select(*[F.col(c).cast(kind).alias(c) for c, kind in columns(name).items()])
 
 
 def from_files(spark: SparkSession, root: str, fmt: str = "parquet", suffix: str = "", **options: str) -> Tables:

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
-_DDL = {
+SCHEMAS: dict[str, str] = {
     # dimensions
     "tb_dim_tempo": "co_seq_dim_tempo bigint, dt_registro date, nu_ano int",
     "tb_dim_cbo": "co_seq_dim_cbo bigint, nu_cbo string",
@@ -35,4 +33,7 @@ _DDL = {
         co_dim_equipe bigint, co_dim_profissional bigint, co_dim_unidade_saude bigint""",
 }
 
-SCHEMAS: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
+
+def columns(table: str) -> dict[str, str]:
+    """Column name -> type of a table, in order."""
+    return dict(column.split() for column in SCHEMAS[table].split(","))

@@ -1,0 +1,106 @@
+"""A small invented clinic: adds rows to the 18 health tables by what happened to whom and when."""
+
+from __future__ import annotations
+
+import datetime
+from itertools import count
+
+from episodica.sources import code_sets as codes
+from episodica.sources.schemas import SCHEMAS
+
+AS_OF = datetime.date(2024, 6, 30)
+UNKNOWN_DAY = datetime.date(3000, 12, 31)
+DOCTOR, NURSE_AIDE, DENTIST, OTHER = 1, 2, 3, 4
+
+
+def ago(days: int) -> datetime.date:
+    return AS_OF - datetime.timedelta(days)
+
+
+def key(day: datetime.date | None) -> int | None:
+    return None if day is None else day.year * 10000 + day.month * 100 + day.day
+
+
+class Clinic:
+    def __init__(self):
+        self.rows: dict[str, list[tuple]] = {name: [] for name in SCHEMAS}
+        self.ids = count(1)
+        self.days: set[datetime.date] = {UNKNOWN_DAY}
+        self.rows["tb_dim_cbo"] = [(DOCTOR, "225125"), (NURSE_AIDE, "322230"), (DENTIST, "223208"), (OTHER, "515105")]
+        ciap = codes.COHORT_CIAP + codes.LOSS_CIAP + codes.BIRTH_CIAP + ["A01"]
+        cid = codes.COHORT_CID + codes.LOSS_CID + codes.BIRTH_CID + ["O245", "J00"]
+        tests = codes.HIV_STANDALONE + codes.HIV_EVALUATED + codes.SYPHILIS_STANDALONE + codes.SYPHILIS_EVALUATED
+        self.ciap = {c: i for i, c in enumerate(ciap, 1)}
+        self.cid = {c: i for i, c in enumerate(cid, 1)}
+        self.procedure = {c: i for i, c in enumerate([*tests, "0301010110"], 1)}
+        self.rows["tb_dim_ciap"] = [(i, c) for c, i in self.ciap.items()]
+        self.rows["tb_dim_cid"] = [(i, c) for c, i in self.cid.items()]
+        self.rows["tb_dim_procedimento"] = [(i, c) for c, i in self.procedure.items()]
+
+    def add(self, table: str, *values) -> None:
+        self.rows[table].append(values)
+
+    def at(self, day: datetime.date | None) -> int | None:
+        if day is not None:
+            self.days.add(day)
+        return key(day)
+
+    def person(self, name: str | None, birth=datetime.date(1990, 1, 1), **own) -> int:
+        new = next(self.ids)
+        contact = [own.get(c, f"{c} {new}") for c in ("cpf", "cns", "phone")]
+        self.add("tb_fat_cidadao_pec", new, name, self.at(birth), *contact)
+        return new
+
+    def attend(
+        self, person, day, start=UNKNOWN_DAY, weeks=None, cid=("O24",), ciap=(), by=DOCTOR, team=None, unit=None
+    ) -> int:
+        new = next(self.ids)
+        self.add(
+            "tb_fat_atendimento_individual", new, person, self.at(day), self.at(start), by, weeks, team, None, unit
+        )
+        for c in cid:
+            self.add("tb_fat_atd_ind_problemas", new, self.cid[c], None)
+        for c in ciap:
+            self.add("tb_fat_atd_ind_problemas", new, None, self.ciap[c])
+        return new
+
+    def dental(self, person, day, by=DENTIST):
+        self.add("tb_fat_atendimento_odonto", person, by, self.at(day))
+
+    def standalone(self, person, code, day, by=DOCTOR):
+        self.add("tb_fat_proced_atend_proced", person, self.procedure[code], by, self.at(day))
+
+    def evaluated(self, person, code, day, by=DOCTOR):
+        self.add("tb_fat_atd_ind_procedimentos", person, self.procedure[code], by, self.at(day))
+
+    def home(self, person, street, number, day):
+        new = next(self.ids)
+        self.add("tb_fat_cad_domiciliar", new, street, number, self.at(day))
+        self.add("tb_fat_cad_dom_familia", new, person)
+
+    def visit(self, person, professional, day):
+        self.add("tb_fat_visita_domiciliar", next(self.ids), person, professional, self.at(day))
+
+    def register(self, person, day, team=None, professional=None, unit=None):
+        self.add("tb_fat_cad_individual", next(self.ids), person, self.at(day), team, professional, unit)
+
+    def unit(self, code, name) -> int:
+        new = next(self.ids)
+        self.add("tb_dim_unidade_saude", new, code, name)
+        return new
+
+    def team(self, code, name) -> int:
+        new = next(self.ids)
+        self.add("tb_dim_equipe", new, code, name)
+        return new
+
+    def worker(self, name) -> int:
+        new = next(self.ids)
+        self.add("tb_dim_profissional", new, name)
+        return new
+
+    def tables(self, spark) -> dict:
+        rows = {**self.rows, "tb_dim_tempo": [(key(d), d, d.year) for d in sorted(self.days)]}
+        return {
+            name: spark.createDataFrame(rows[name], schema).coalesce(1) for name, schema in SCHEMAS.items()
+        }
