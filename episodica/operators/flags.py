@@ -1,42 +1,39 @@
 """Interval existence: did an event of some kind happen for the entity between two dates?
 
-Events come as one long table (key, day, flag). Per key they shrink to the distinct days of each flag, with map-side
-combine: whatever the number of events, a key holds at most one element per flag and calendar day. Then one row of days
-meets one row of bounds, without a range join.
+Events come as one long table (key, day, flag), cases as one row per key with the bounds of a closed interval.
+
+Events shrink before they meet the bounds: per key to the distinct days of each flag, with map-side combine. Whatever
+the number of events, a key holds at most one element per flag and calendar day, and one row of days meets one row of
+bounds, without a range join. Where the cases are known to fit into every executor, they are broadcast instead and each
+event is tested in place; the map-side combine then leaves one row of booleans per case and task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from episodica.functions.dates import within
-from episodica.operators.identity import merge_ids
-
 
-def dates_by_flag(flags: Iterable[str]) -> dict[str, Column]:
+def _days(flags: Sequence[str]) -> list[Column]:
     """Aggregates: the distinct days of each flag as an array."""
-    return {f"_days_{f}": F.collect_set(F.when(F.col("flag") == f, F.col("day"))) for f in flags}
+    return [F.expr(f"collect_set(CASE WHEN flag = '{f}' THEN day END) AS `_days_{f}`") for f in flags]
 
 
-def flag_columns(flags: Iterable[str], start: str, end: str) -> dict[str, Column]:
+def _tests(flags: Sequence[str], start: str, end: str) -> dict[str, Column]:
     """True where one of the flag's days lies in the closed interval; never NULL."""
-    return {
-        f: F.coalesce(F.exists(f"_days_{f}", lambda day: within(day, F.col(start), F.col(end))), F.lit(False))
-        for f in flags
-    }
+    tests = {f: f"exists(`_days_{f}`, day -> day >= `{start}` AND day <= `{end}`)" for f in flags}
+    return {f: F.expr(f"coalesce({test}, false)") for f, test in tests.items()}
 
 
 def with_flags(
     cases: DataFrame, events: DataFrame, key: Sequence[str], start: str, end: str, flags: Sequence[str]
 ) -> DataFrame:
     """Cases with one boolean per flag. ``events`` has the key columns, ``day`` (date) and ``flag``."""
-    days = events.groupBy(*key).agg(*[m.alias(n) for n, m in dates_by_flag(flags).items()])
-    return cases.join(days, list(key), "left").withColumns(flag_columns(flags, start, end)).drop(
-        *[f"_days_{f}" for f in flags]
-    )
+    days = events.groupBy(*key).agg(*_days(flags))
+    found = cases.join(days, list(key), "left").withColumns(_tests(flags, start, end))
+    return found.drop(*[f"_days_{f}" for f in flags])
 
 
 def flags_of_ids(
@@ -48,18 +45,17 @@ def flags_of_ids(
     start: str,
     end: str,
     flags: Sequence[str],
+    small: bool = False,
 ) -> DataFrame:
-    """Per case with any event: one boolean per flag over the events of all its member ids.
+    """Per case: one boolean per flag over the events of all its member ids; cases without events may be missing.
 
     ``events`` has the id column, ``day`` and ``flag``; ``members`` has the ids with their case and its bounds.
+    ``small``: the members are known to fit into every executor.
     """
-    return merge_ids(
-        events,
-        event_id,
-        members,
-        member_id,
-        [case],
-        per_id=dates_by_flag(flags),
-        derived=flag_columns(flags, start, end),
-        merged={f: F.bool_or(f) for f in flags},
-    )
+    if small:
+        inside = f"`{event_id}` = `{member_id}` AND day >= `{start}` AND day <= `{end}`"
+        hits = events.join(F.broadcast(members), F.expr(inside), "inner")
+        return hits.groupBy(case).agg(*[F.expr(f"bool_or(flag = '{f}') AS `{f}`") for f in flags])
+    by_id = events.groupBy(F.col(event_id).alias("_event_id")).agg(*_days(flags))
+    tested = by_id.join(members, F.expr(f"_event_id = `{member_id}`"), "inner").withColumns(_tests(flags, start, end))
+    return tested.groupBy(case).agg(*[F.expr(f"bool_or(`{f}`) AS `{f}`") for f in flags])

@@ -3,21 +3,21 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def members_of(ids: DataFrame, id_column: str, natural_key: Sequence[str], targets: DataFrame, carry: Sequence[str]):
+def members_of(
+    ids: DataFrame, id_column: str, natural_key: Sequence[str], targets: DataFrame, carry: Sequence[str]
+) -> DataFrame:
     """All ids whose natural key equals that of a target row, with the target's ``carry`` columns.
 
     The match is exact and a NULL in the natural key matches nothing. A target's natural key is unique.
     """
-    wanted = targets.select(*[F.col(k).alias(f"_nk_{k}") for k in natural_key], *carry)
-    same = reduce(and_, [F.col(k) == F.col(f"_nk_{k}") for k in natural_key])
-    return ids.select(id_column, *natural_key).join(wanted, same, "inner").select(id_column, *carry)
+    wanted = targets.selectExpr(*[f"`{k}` AS `_nk_{k}`" for k in natural_key], *[f"`{c}`" for c in carry])
+    same = " AND ".join(f"`{k}` = `_nk_{k}`" for k in natural_key)
+    return ids.select(id_column, *natural_key).join(wanted, F.expr(same), "inner").select(id_column, *carry)
 
 
 def merge_ids(
@@ -28,15 +28,18 @@ def merge_ids(
     entity: Sequence[str],
     per_id: dict[str, Column],
     merged: dict[str, Column],
-    derived: dict[str, Column] | None = None,
+    small: bool = False,
 ) -> DataFrame:
-    """Aggregate facts to entities in two steps: per id, then over the ids of an entity.
+    """Aggregate facts to the entities their ids belong to. ``merged`` merges the ``per_id`` aggregates of an entity.
 
-    The facts shrink to one row per id before they meet the members, so neither a hot id nor a hot entity puts its
-    rows into one task, and the join is one row to one row. ``derived`` columns are computed from both sides in between.
+    By default the facts shrink to one row per id before they meet the members, and those rows to one per entity: neither
+    a hot id nor a hot entity puts its rows into one task, and the join is one row to one row. With ``small`` (members
+    that are known to fit into every executor) the members are broadcast and filter the facts before any shuffle; the
+    map-side combine then works on entities.
     """
+    if small:
+        joined = facts.join(F.broadcast(members), F.expr(f"`{fact_id}` = `{member_id}`"), "inner")
+        return joined.groupBy(*entity).agg(*[m.alias(n) for n, m in per_id.items()])
     by_id = facts.groupBy(F.col(fact_id).alias("_fact_id")).agg(*[m.alias(n) for n, m in per_id.items()])
-    joined = by_id.join(members, F.col("_fact_id") == F.col(member_id), "inner")
-    if derived:
-        joined = joined.withColumns(derived)
+    joined = by_id.join(members, F.expr(f"_fact_id = `{member_id}`"), "inner")
     return joined.groupBy(*entity).agg(*[m.alias(n) for n, m in merged.items()])

@@ -8,20 +8,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def best_of(order: Column, tie: Column, keep: Sequence[Column], where: Column | None = None) -> Column:
-    """Aggregate: the ``keep`` columns of the row with the highest (order, tie), as a struct.
+def best_of(order: str, tie: str, keep: Sequence[str], where: str | None = None) -> Column:
+    """Aggregate: a struct whose ``keep`` fields come from the row with the highest (order, tie).
 
-    A NULL order counts as highest, as in a descending sort with NULLs first. The result can be merged by
-    ``max_by`` again: it is a struct of ``rank`` and ``row``.
+    A NULL order counts as highest, as in a descending sort with NULLs first. ``tie`` is unique per order, so the kept
+    fields never decide. ``where`` is a condition on the rows that take part; without any the result is NULL. Results
+    merge by ``max``.
     """
-    rank = F.struct(order.isNull().alias("unknown"), order.alias("order"), tie.alias("tie"))
-    found = F.struct(rank.alias("rank"), F.struct(*keep).alias("row"))
-    if where is not None:
-        rank, found = F.when(where, rank), F.when(where, found)
-    return F.max_by(found, rank)
+    fields = ", ".join(f"'{c}', `{c}`" for c in keep)
+    row = f"named_struct('_unknown', `{order}` IS NULL, '_order', `{order}`, '_tie', `{tie}`, {fields})"
+    return F.expr(f"max(CASE WHEN {where} THEN {row} END)" if where else f"max({row})")
 
 
 def latest_by(rows: DataFrame, by: Sequence[str], order: str, tie: str, keep: Sequence[str]) -> DataFrame:
     """One row per entity: ``by`` and the ``keep`` columns of its latest row; ties go to the highest ``tie``."""
-    best = best_of(F.col(order), F.col(tie), [F.col(c) for c in keep])
-    return rows.groupBy(*by).agg(best.alias("_best")).select(*by, *[F.col(f"_best.row.{c}").alias(c) for c in keep])
+    best = rows.groupBy(*by).agg(best_of(order, tie, keep).alias("_best"))
+    return best.select(*by, *[f"_best.{c}" for c in keep])

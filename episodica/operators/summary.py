@@ -8,45 +8,41 @@ one. Keys compare NULL-safe: rows with NULL keys form one group, as in a window
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def earliest(order: Column, tie: Column, value: Column, where: Column) -> Column:
+def earliest(order: str, tie: str, value: str, where: str) -> Column:
     """Aggregate: struct(unknown, order, tie, value) of the first row in (order, tie) that meets ``where``.
 
     NULL orders sort last. NULL when no row meets it. Mergeable by ``min``.
     """
-    row = F.struct(order.isNull().alias("unknown"), order.alias("order"), tie.alias("tie"), value.alias("value"))
-    return F.min(F.when(where, row))
+    row = f"named_struct('unknown', `{order}` IS NULL, 'order', `{order}`, 'tie', `{tie}`, 'value', {value})"
+    return F.expr(f"min(CASE WHEN {where} THEN {row} END)")
 
 
 def attach(rows: DataFrame, by: Sequence[str], measures: dict[str, Column]) -> DataFrame:
     """Every row with the aggregates of its entity: what ``agg(...) OVER (PARTITION BY by)`` returns."""
     summary = rows.groupBy(*by).agg(*[m.alias(name) for name, m in measures.items()])
-    renamed = summary.select(*[F.col(k).alias(f"_by_{k}") for k in by], *measures)
-    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_by_{k}")) for k in by])
-    return rows.join(renamed, same, "inner").drop(*[f"_by_{k}" for k in by])
+    renamed = summary.selectExpr(*[f"`{k}` AS `_by_{k}`" for k in by], *[f"`{m}`" for m in measures])
+    same = " AND ".join(f"`{k}` <=> `_by_{k}`" for k in by)
+    return rows.join(renamed, F.expr(same), "inner").drop(*[f"_by_{k}" for k in by])
 
 
 def attach_first_so_far(
-    rows: DataFrame, by: Sequence[str], order: str, tie: str, values: dict[str, tuple[Column, Column]]
+    rows: DataFrame, by: Sequence[str], order: str, tie: str, values: dict[str, tuple[str, str]]
 ) -> DataFrame:
     """Every row with, per output name, the first value that met its condition up to and including this row's order.
 
-    ``values`` maps an output name to (value, condition). Rows with equal order see each other. The first qualifying
+    ``values`` maps an output name to the expressions (value, condition). Rows with equal order see each other. The first qualifying
     row of the whole entity is the first of any frame that reaches it, so one aggregate and a comparison replace the
     running window.
     """
-    firsts = {f"_first_{out}": earliest(F.col(order), F.col(tie), v, cond) for out, (v, cond) in values.items()}
+    firsts = {f"_first_{out}": earliest(order, tie, v, cond) for out, (v, cond) in values.items()}
     found = attach(rows, by, firsts)
     reached = {
-        out: F.when(
-            F.col(order).isNull() | (F.col(order) >= F.col(f"_first_{out}.order")), F.col(f"_first_{out}.value")
-        )
+        out: F.expr(f"CASE WHEN `{order}` IS NULL OR `{order}` >= _first_{out}.order THEN _first_{out}.value END")
         for out in values
     }
     return found.withColumns(reached).drop(*firsts)

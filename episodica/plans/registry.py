@@ -33,7 +33,7 @@ from episodica.functions import (
 from episodica.plans.worklist import Rule, worklist
 from episodica.plans.worklist_oracle import worklist_sql
 from episodica.session import scratch_root
-from episodica.sources.order_tables import health_tables, order_tables
+from episodica.sources.order_tables import OrderTables, health_tables
 
 AS_OF = datetime.date(2001, 8, 1)
 TODAY = f"DATE '{AS_OF}'"
@@ -57,7 +57,7 @@ def query(sql: str):
     """Register a function of the given tables under its name, with its SQL."""
 
     def register(build: Callable[[Tables], DataFrame]):
-        REGISTRY[build.__name__] = Query(lambda spark, folder: build(order_tables(spark, folder)), sql)
+        REGISTRY[build.__name__] = Query(lambda spark, folder: build(OrderTables(spark, folder)), sql)
         return build
 
     return register
@@ -401,8 +401,8 @@ FROM (SELECT *, CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice END AS
 def first_non_null(t):
     rows = attended(t).withColumn("price", F.when(F.col("o_orderpriority") == "1-URGENT", F.col("o_totalprice")))
     values = {
-        "first_weeks": (F.col("weeks"), F.col("weeks").isNotNull()),
-        "first_urgent": (F.col("price"), F.col("price").isNotNull()),
+        "first_weeks": ("weeks", "weeks IS NOT NULL"),
+        "first_urgent": ("price", "price IS NOT NULL"),
     }
     found = ops.attach_first_so_far(rows, PERSON, "seen", "o_orderkey", values)
     return found.select("o_orderkey", "first_weeks", "first_urgent")
@@ -412,7 +412,7 @@ def first_non_null(t):
 SELECT event_id, {sql_first_so_far('value', "event_type = 'purchase'", 'user_id', 'ts', 'event_id')}
     AS first_purchase FROM events""")
 def first_non_null_events(t):
-    values = {"first_purchase": (F.col("value"), F.col("event_type") == "purchase")}
+    values = {"first_purchase": ("value", "event_type = 'purchase'")}
     found = ops.attach_first_so_far(t["events"], ["user_id"], "ts", "event_id", values)
     return found.select("event_id", "first_purchase")
 
@@ -421,7 +421,7 @@ def first_non_null_events(t):
 SELECT o_orderkey, {sql_first_so_far('reported_start', "reported_start <> DATE '3000-12-31'",
     'person_name, birth_key', 'seen', 'o_orderkey')} AS first_start FROM {SQL_ATTENDED} a""")
 def first_non_sentinel(t):
-    values = {"first_start": (F.col("reported_start"), RULE.is_known(F.col("reported_start")))}
+    values = {"first_start": ("reported_start", "reported_start <> DATE '3000-12-31'")}
     found = ops.attach_first_so_far(attended(t), PERSON, "seen", "o_orderkey", values)
     return found.select("o_orderkey", "first_start")
 
@@ -518,25 +518,25 @@ LEFT JOIN supplier rs ON rs.s_suppkey = r.o_orderkey % 12 LEFT JOIN supplier vs
 def responsible_lookup(t):
     ids = people(t)
     kinds = {
-        "registration": F.col("o_orderpriority").isin("3-MEDIUM", "5-LOW"),
-        "visit": F.col("o_orderpriority") == "1-URGENT",
-        "attendance": F.lit(True),
+        "registration": "o_orderpriority IN ('3-MEDIUM', '5-LOW')",
+        "visit": "o_orderpriority = '1-URGENT'",
+        "attendance": "true",
     }
-    keep = [F.col(c) for c in ("o_orderkey", "o_custkey", "seen", "o_orderstatus", "o_orderpriority")]
-    per_id = {k: ops.best_of(F.col("seen"), F.col("o_orderkey"), keep, where) for k, where in kinds.items()}
-    merged = {k: F.max_by(F.col(k), F.col(f"{k}.rank")) for k in kinds}
+    keep = ["o_orderkey", "o_custkey", "seen", "o_orderstatus", "o_orderpriority"]
+    per_id = {kind: ops.best_of("seen", "o_orderkey", keep, where) for kind, where in kinds.items()}
+    merged = {kind: F.max(kind) for kind in kinds}
     latest = ops.merge_ids(attendances(t), "o_custkey", ids, "c_custkey", PERSON, per_id, merged)
     latest = latest.select(
         *PERSON,
-        (F.col("registration.row.o_custkey") % 26).alias("registration_unit"),
-        (F.col("attendance.row.o_custkey") % 25).alias("attendance_unit"),
-        (F.col("registration.row.o_orderkey") % 12).alias("registration_worker"),
-        (F.col("visit.row.o_orderkey") % 15).alias("visit_worker"),
-        F.col("visit.row.seen").alias("last_visit"),
+        (F.col("registration.o_custkey") % 26).alias("registration_unit"),
+        (F.col("attendance.o_custkey") % 25).alias("attendance_unit"),
+        (F.col("registration.o_orderkey") % 12).alias("registration_worker"),
+        (F.col("visit.o_orderkey") % 15).alias("visit_worker"),
+        F.col("visit.seen").alias("last_visit"),
         known(
             join_text(
-                known(F.col("registration.row.o_orderstatus"), "P"),
-                known(F.col("registration.row.o_orderpriority"), "5-LOW"),
+                known(F.col("registration.o_orderstatus"), "P"),
+                known(F.col("registration.o_orderpriority"), "5-LOW"),
             ),
             ", ",
         ).alias("address"),

@@ -129,12 +129,12 @@ def cohort(t: Tables, rule: Rule) -> DataFrame:
         {"birth_date": "dt_registro"},
         "inner",
     )
-    order, tie, start, units = (F.col(c) for c in ("event_date", "attendance_id", "start", "units"))
     identity = ["co_dim_tempo_nascimento", "nu_cpf_cidadao", "nu_cns", "nu_telefone_celular"]
+    known_start = f"start <> DATE '{rule.dating.unknown_date}'"
     firsts = {
-        "first_dated": earliest(order, tie, start, start.isNotNull()),
-        "first_start": earliest(order, tie, start, rule.dating.is_known(start)),
-        "first_units": earliest(order, tie, units, units.isNotNull()),
+        "first_dated": earliest("event_date", "attendance_id", "start", "start IS NOT NULL"),
+        "first_start": earliest("event_date", "attendance_id", "start", known_start),
+        "first_units": earliest("event_date", "attendance_id", "units", "units IS NOT NULL"),
     }
     persons = merge_ids(
         qualifying_attendances(t, rule),
@@ -142,107 +142,117 @@ def cohort(t: Tables, rule: Rule) -> DataFrame:
         people,
         "co_seq_fat_cidadao_pec",
         ["no_cidadao", "birth_date"],
-        per_id={"contacts": F.count("*"), "last": F.max(F.struct(order, tie)), **firsts},
+        per_id={"contacts": F.count("*"), "last": F.max(F.struct("event_date", "attendance_id")), **firsts},
         merged={
             "contacts": F.sum("contacts"),
-            "latest": F.max_by(F.struct("last", *identity), F.col("last")),
+            "latest": F.max(F.struct("last", *identity)),
             **{name: F.min(name) for name in firsts},
         },
     )
     dated = F.col("first_dated.value")
-    return persons.select(
-        F.col("latest.last.attendance_id").alias("case_id"),
+    dates = {"due": rule.dating.due(dated), "age": rule.dating.age(dated, rule.today)}
+    return persons.withColumns(dates).selectExpr(
+        "latest.last.attendance_id AS case_id",
         "no_cidadao",
         "birth_date",
-        *[F.col(f"latest.{c}").alias(c) for c in identity],
+        *[f"latest.{c}" for c in identity],
         "contacts",
-        F.col("latest.last.event_date").alias("last_contact"),
-        F.col("first_dated.order").alias("first_contact"),
-        F.col("first_start.value").alias("start"),
-        rule.dating.due(dated).alias("due"),
-        rule.dating.age(dated, rule.today).alias("age"),
-        F.col("first_units.value").alias("first_units"),
+        "latest.last.event_date AS last_contact",
+        "first_dated.order AS first_contact",
+        "first_start.value AS start",
+        "due",
+        "age",
+        "first_units.value AS first_units",
     )
 
 
-def cohort_members(t: Tables, cases: DataFrame) -> DataFrame:
-    """(member_id, case_id, start, due): every citizen id with the name and birth key of a case."""
-    members = members_of(
-        t["tb_fat_cidadao_pec"],
-        "co_seq_fat_cidadao_pec",
-        ["no_cidadao", "co_dim_tempo_nascimento"],
-        cases,
-        ["case_id", "start", "due"],
-    )
-    return members.withColumnRenamed("co_seq_fat_cidadao_pec", "member_id")
+@dataclass(frozen=True)
+class Members:
+    """Every citizen id with the name and birth key of a case: (member_id, case_id, start, due)."""
 
+    ids: DataFrame
+    small: bool
+    first_day: datetime.date | None
+    last_day: datetime.date | None
 
-class Prune:
-    """Restrict facts to member ids before they shuffle, when the ids are few enough to send to every executor."""
+    def prune(self, facts: DataFrame, id_column: str) -> DataFrame:
+        """Facts of members only, where that needs no shuffle; otherwise all facts."""
+        if not self.small:
+            return facts
+        wanted = F.broadcast(self.ids.selectExpr("member_id AS _member"))
+        return facts.join(wanted, F.expr(f"`{id_column}` = _member"), "left_semi")
 
-    def __init__(self, members: DataFrame, count: int, limit: int):
-        self.ids = F.broadcast(members.select(F.col("member_id").alias("_member"))) if count <= limit else None
 
-    def __call__(self, facts: DataFrame, id_column: str) -> DataFrame:
-        if self.ids is None:
-            return facts
-        return facts.join(self.ids, F.col(id_column) == F.col("_member"), "left_semi")
+def cohort_members(t: Tables, cases: DataFrame, rule: Rule, scratch: Scratch) -> Members:
+    """The cohort's members, written; their number and the span of their episodes are observed on the way."""
+    natural_key = ["no_cidadao", "co_dim_tempo_nascimento"]
+    carry = ["case_id", "start", "due"]
+    found = members_of(t["tb_fat_cidadao_pec"], "co_seq_fat_cidadao_pec", natural_key, cases, carry)
+    seen = Observation()
+    found = found.withColumnRenamed("co_seq_fat_cidadao_pec", "member_id").observe(
+        seen, F.count("*").alias("count"), F.min("start").alias("first"), F.max("due").alias("last")
+    )
+    ids = scratch.save(found, "members")
+    last_day = seen.get["last"].date() if seen.get["last"] else None
+    return Members(ids, seen.get["count"] <= rule.broadcast_members, seen.get["first"], last_day)
 
 
-def record_history(t: Tables, prune: Prune) -> DataFrame:
+def record_history(t: Tables, members: Members) -> DataFrame:
     """All records that "latest" is asked of, in one long table: citizen_id, kind, time_key, record_id, payload."""
-    home = prune(t["tb_fat_cad_dom_familia"], "co_fat_cidadao_pec")
     home = lookup(
-        home,
+        members.prune(t["tb_fat_cad_dom_familia"], "co_fat_cidadao_pec"),
         t["tb_fat_cad_domiciliar"],
         "co_fat_cad_domiciliar",
         "co_seq_fat_cad_domiciliar",
-        {"street": "no_logradouro", "number": "nu_num_logradouro", "co_dim_tempo": "co_dim_tempo"},
+        {"no_logradouro": "no_logradouro", "nu_num_logradouro": "nu_num_logradouro", "co_dim_tempo": "co_dim_tempo"},
         "inner",
     )
-    sources = {
-        "home": (home, "co_fat_cad_domiciliar", {"street": "street", "number": "number"}),
-        "visit": (
-            prune(t["tb_fat_visita_domiciliar"], "co_fat_cidadao_pec"),
-            "co_seq_fat_visita_domiciliar",
-            {"professional": "co_dim_profissional"},
-        ),
-        "registration": (
-            prune(t["tb_fat_cad_individual"], "co_fat_cidadao_pec"),
+    visit, registration, attendance = (
+        t[name] for name in ("tb_fat_visita_domiciliar", "tb_fat_cad_individual", "tb_fat_atendimento_individual")
+    )
+    sources = [
+        ("home", home, "co_fat_cad_domiciliar", {"street": "no_logradouro", "number": "nu_num_logradouro"}),
+        ("visit", visit, "co_seq_fat_visita_domiciliar", {"professional": "co_dim_profissional"}),
+        (
+            "registration",
+            registration,
             "co_seq_fat_cad_individual",
             {"team": "co_dim_equipe", "unit": "co_dim_unidade_saude", "professional": "co_dim_profissional"},
         ),
-        "attendance": (
-            prune(t["tb_fat_atendimento_individual"], "co_fat_cidadao_pec"),
+        (
+            "attendance",
+            attendance,
             "co_seq_fat_atd_ind",
             {"team": "co_dim_equipe_1", "unit": "co_dim_unidade_saude_1"},
         ),
-    }
+    ]
     histories = [
-        rows.select(
-            F.col("co_fat_cidadao_pec").alias("citizen_id"),
-            F.lit(kind).alias("kind"),
-            F.col("co_dim_tempo").alias("time_key"),
-            F.col(record_id).alias("record_id"),
-            *[F.col(column).alias(name) for name, column in payload.items()],
+        rows.selectExpr(
+            "co_fat_cidadao_pec AS citizen_id",
+            f"'{kind}' AS kind",
+            "co_dim_tempo AS time_key",
+            f"{record_id} AS record_id",
+            *[f"{column} AS {name}" for name, column in payload.items()],
         )
-        for kind, (rows, record_id, payload) in sources.items()
+        for kind, rows, record_id, payload in sources
     ]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), histories)
 
 
-def responsible(t: Tables, members: DataFrame, prune: Prune) -> DataFrame:
+def responsible(t: Tables, members: Members) -> DataFrame:
     """Per case: unit, team, worker, last visit and address from the latest records of all the person's ids."""
-    per_id = {
-        kind: best_of(F.col("time_key"), F.col("record_id"), [F.col(c) for c in payload], F.col("kind") == kind)
-        for kind, payload in RECORDS.items()
-    }
-    merged = {kind: F.max_by(F.col(kind), F.col(f"{kind}.rank")) for kind in RECORDS}
-    latest = merge_ids(record_history(t, prune), "citizen_id", members, "member_id", ["case_id"], per_id, merged)
-    latest = latest.select(
-        "case_id",
-        *[F.col(f"{kind}.row.{c}").alias(f"{kind}_{c}") for kind, payload in RECORDS.items() for c in payload],
+    per_id = {kind: best_of("time_key", "record_id", keep, f"kind = '{kind}'") for kind, keep in RECORDS.items()}
+    latest = merge_ids(
+        record_history(t, members),
+        "citizen_id",
+        members.ids,
+        "member_id",
+        ["case_id"],
+        per_id,
+        merged={kind: F.max(kind) for kind in RECORDS},
+        small=members.small,
     )
+    latest = latest.selectExpr("case_id", *[f"{kind}.{c} AS {kind}_{c}" for kind, keep in RECORDS.items() for c in keep])
     unit = {"code": "nu_cnes", "name": "no_unidade_saude"}
     team = {"code": "nu_ine", "name": "no_equipe"}
     for kind in ("registration", "attendance"):
@@ -273,16 +283,16 @@ def responsible(t: Tables, members: DataFrame, prune: Prune) -> DataFrame:
     )
 
 
-def episode_events(t: Tables, prune: Prune, first_day: datetime.date | None, last_day: datetime.date | None):
+def episode_events(t: Tables, members: Members) -> DataFrame:
     """All events the flags ask for, in one long table: citizen_id, day, flag.
 
-    ``first_day`` and ``last_day`` bound the episodes of the whole cohort; no flag looks outside.
+    Only from the first to the last day of the cohort's episodes; no flag looks outside.
     """
-    days = t["tb_dim_tempo"].where(F.col("dt_registro").between(F.lit(first_day), F.lit(last_day)))
+    days = t["tb_dim_tempo"].where(F.col("dt_registro").between(F.lit(members.first_day), F.lit(members.last_day)))
     in_range = in_key_range(days)
 
     def timely(fact: str) -> DataFrame:
-        return prune(t[fact].where(in_range), "co_fat_cidadao_pec")
+        return members.prune(t[fact].where(in_range), "co_fat_cidadao_pec")
 
     def tests(fact: str, procedure: str, occupation: str, sets: dict[str, list[str]]) -> DataFrame:
         flag = F.coalesce(*[F.when(in_codes("co_proced", listed), F.lit(name)) for name, listed in sets.items()])
@@ -356,16 +366,9 @@ def worklist(spark: SparkSession, t: Tables, rule: Rule, built_at: Column | None
     """The whole worklist. The cohort and its member ids are written to the shared scratch folder on the way."""
     scratch = Scratch(spark)
     cases = scratch.save(cohort(t, rule), "cohort")
-    seen = Observation()
-    members = cohort_members(t, cases).observe(
-        seen, F.count("*").alias("count"), F.min("start").alias("first"), F.max("due").alias("last")
+    members = cohort_members(t, cases, rule, scratch)
+    lookups = responsible(t, members)
+    flags = flags_of_ids(
+        episode_events(t, members), "citizen_id", members.ids, "member_id", "case_id", "start", "due", FLAGS, members.small
     )
-    members = scratch.save(members, "members")
-    found = seen.get
-    last_day = found["last"].date() if found["last"] else None
-    prune = Prune(members, found["count"], rule.broadcast_members)
-
-    lookups = responsible(t, members, prune)
-    events = episode_events(t, prune, found["first"], last_day)
-    flags = flags_of_ids(events, "citizen_id", members, "member_id", "case_id", "start", "due", FLAGS)
     return present(cases.join(lookups, "case_id", "left").join(flags, "case_id", "left"), rule, built_at)
