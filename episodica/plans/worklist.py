@@ -362,13 +362,16 @@ def present(cases: DataFrame, rule: Rule, built_at: Column | None = None) -> Dat
     return cases.select(*[column.alias(name) for name, column in columns.items()])
 
 
-def worklist(spark: SparkSession, t: Tables, rule: Rule, built_at: Column | None = None) -> DataFrame:
-    """The whole worklist. The cohort and its member ids are written to the shared scratch folder on the way."""
-    scratch = Scratch(spark)
+def worklist(
+    spark: SparkSession, t: Tables, rule: Rule, built_at: Column | None = None, scratch: Scratch | None = None
+) -> DataFrame:
+    """The whole worklist. The cohort and its member ids are written to the scratch folder on the way."""
+    scratch = scratch or Scratch(spark)
     cases = scratch.save(cohort(t, rule), "cohort")
     members = cohort_members(t, cases, rule, scratch)
     lookups = responsible(t, members)
+    events = episode_events(t, members)
     flags = flags_of_ids(
-        episode_events(t, members), "citizen_id", members.ids, "member_id", "case_id", "start", "due", FLAGS, members.small
+        events, "citizen_id", members.ids, "member_id", "case_id", "start", "due", FLAGS, members.small
     )
     return present(cases.join(lookups, "case_id", "left").join(flags, "case_id", "left"), rule, built_at)

@@ -58,3 +58,8 @@ class Scratch:
         target = f"{self.path}/{name}.parquet"
         df.write.parquet(target)
         return self.spark.read.schema(df.schema).parquet(target)
+
+    def clear(self) -> None:
+        """Delete what was saved; results that still read from it must have been written elsewhere."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)

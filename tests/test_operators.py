@@ -1,0 +1,169 @@
+"""Operators against brute force on random rows with NULLs, ties and one key that holds a third of all rows."""
+
+import datetime
+import random
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from episodica import operators as ops
+
+DAY = datetime.date(2024, 1, 1)
+
+
+def day(n):
+    return None if n is None else DAY + datetime.timedelta(n)
+
+
+def make(seed, size=300):
+    """(id, name, nr, seen, value): name and nr are a key with NULLs; id is unique."""
+    r = random.Random(seed)
+    rows = []
+    for i in range(size):
+        hot = i % 3 == 0
+        name = None if hot else r.choice(["a", "b", "c", None])
+        nr = 1 if hot else r.choice([1, 2, None])
+        rows.append((i, name, nr, day(r.choice([None, *range(12)])), r.choice([None, None, *range(5)])))
+    r.shuffle(rows)
+    return rows
+
+
+SCHEMA = "id bigint, name string, nr int, seen date, value int"
+SEEDS = [1, 2, 3]
+
+
+def groups(rows):
+    found = defaultdict(list)
+    for row in rows:
+        found[row[1:3]].append(row)
+    return found
+
+
+def ascending(row):
+    return (row[3] is None, row[3] or DAY, row[0])
+
+
+def descending(row):  # the highest is the latest: unknown first, then date, then id
+    return (row[3] is None, row[3] or DAY, row[0])
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_attach(spark, seed):
+    rows = make(seed)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    found = ops.attach(df, ["name", "nr"], {"n": F.count("*"), "last": F.max("seen")})
+    by = groups(rows)
+    want = {}
+    for row in rows:
+        seen = [r[3] for r in by[row[1:3]] if r[3]]
+        want[row[0]] = (len(by[row[1:3]]), max(seen, default=None))
+    assert {r.id: (r.n, r.last) for r in found.collect()} == want
+    assert found.columns == [*df.columns, "n", "last"]
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_attach_first_so_far(spark, seed):
+    rows = make(seed)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    values = {"first": ("value", "value IS NOT NULL"), "first_big": ("value", "value > 2")}
+    found = ops.attach_first_so_far(df, ["name", "nr"], "seen", "id", values)
+    by = groups(rows)
+
+    def first(row, wanted):
+        peers = [r for r in by[row[1:3]] if row[3] is None or (r[3] is not None and r[3] <= row[3])]
+        return next((r[4] for r in sorted(peers, key=ascending) if r[4] is not None and wanted(r[4])), None)
+
+    want = {row[0]: (first(row, lambda v: True), first(row, lambda v: v > 2)) for row in rows}
+    assert {r.id: (r["first"], r.first_big) for r in found.collect()} == want
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_latest_by(spark, seed):
+    rows = make(seed)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    found = ops.latest_by(df, ["name", "nr"], "seen", "id", ["id", "seen", "value"])
+    want = {}
+    for key, members in groups(rows).items():
+        top = max(members, key=descending)
+        want[key] = (top[0], top[3], top[4])
+    assert {(r.name, r.nr): (r.id, r.seen, r.value) for r in found.collect()} == want
+
+
+@pytest.mark.parametrize("small", [False, True])
+@pytest.mark.parametrize("seed", SEEDS)
+def test_ids_to_persons(spark, seed, small):
+    """identity, merged aggregates and flags over several ids per person; a hot id and a hot person."""
+    r = random.Random(seed)
+    people = [(i, None if i % 7 == 0 else "hot" if i % 3 == 0 else f"p{i // 4}", i % 2) for i in range(40)]
+    facts = [(i, 3 if i % 3 == 0 else r.randrange(50), day(r.randrange(30)), r.choice("xyz")) for i in range(400)]
+    names = sorted({p[1:] for p in people if p[1]}, key=str)
+    cases = [(n, *name, day(r.randrange(15)), day(r.choice([None, *range(10, 30)]))) for n, name in enumerate(names)]
+
+    ids = spark.createDataFrame(people, "pid bigint, name string, nr int")
+    events = spark.createDataFrame(facts, "fid bigint, who bigint, day date, flag string").repartition(4)
+    targets = spark.createDataFrame(cases, "case_id bigint, name string, nr int, start date, due date")
+    members = ops.members_of(ids, "pid", ["name", "nr"], targets, ["case_id", "start", "due"])
+
+    person_of = {p[0]: p[1:] for p in people if p[1]}
+    case_of = {c[1:3]: c for c in cases}
+    assert {(m.pid, m.case_id) for m in members.collect()} == {(i, case_of[k][0]) for i, k in person_of.items()}
+
+    best = ops.best_of("day", "fid", ["fid"], "flag <> 'z'")
+    latest = ops.merge_ids(
+        events, "who", members, "pid", ["case_id"],
+        per_id={"n": F.count("*"), "best": best},
+        merged={"n": F.sum("n"), "best": F.max("best")},
+        small=small,
+    )
+    flags = ops.flags_of_ids(events, "who", members, "pid", "case_id", "start", "due", ["x", "y"], small=small)
+
+    want_latest, want_flags = {}, {}
+    for c in cases:
+        mine = [f for f in facts if person_of.get(f[1]) == c[1:3]]
+        if not mine:
+            continue
+        listed = [f for f in mine if f[3] != "z"]
+        want_latest[c[0]] = (len(mine), max(listed, key=lambda f: (f[2], f[0]))[0] if listed else None)
+        inside = {f[3] for f in mine if c[4] and c[3] <= f[2] <= c[4]}
+        want_flags[c[0]] = ("x" in inside, "y" in inside)
+    found = {r.case_id: (r.n, r.best.fid if r.best else None) for r in latest.collect()}
+    assert found == want_latest
+    found = {r.case_id: (bool(r.x), bool(r.y)) for r in flags.collect()}
+    quiet = (False, False)
+    assert {k: v for k, v in found.items() if v != quiet} == {k: v for k, v in want_flags.items() if v != quiet}
+
+
+@pytest.mark.parametrize("seed", SEEDS)
+def test_with_flags(spark, seed):
+    r = random.Random(seed)
+    cases = [(k, day(r.randrange(10)), day(r.choice([None, *range(5, 25)]))) for k in range(12)]
+    events = [(5 if i % 3 == 0 else r.randrange(14), day(r.randrange(30)), r.choice("xyz")) for i in range(60)]
+    found = ops.with_flags(
+        spark.createDataFrame(cases, "k int, start date, due date"),
+        spark.createDataFrame(events, "k int, day date, flag string"),
+        ["k"], "start", "due", ["x", "y"],
+    )
+    want = {}
+    for k, start, due in cases:
+        inside = {f for who, d, f in events if who == k and due and start <= d <= due}
+        want[k] = ("x" in inside, "y" in inside)
+    assert {r.k: (r.x, r.y) for r in found.collect()} == want
+
+
+def test_lookup_roles_and_kinds(spark):
+    facts = spark.createDataFrame([(1, 10, 20), (2, 20, None), (3, 99, 10)], "id int, a int, b int")
+    dim = spark.createDataFrame([(10, "ten"), (20, "twenty")], "k int, name string")
+    both = ops.lookup(ops.lookup(facts, dim, "a", "k", {"a_name": "name"}), dim, "b", "k", {"b_name": "name"})
+    assert {tuple(r)[0:1] + tuple(r)[3:] for r in both.collect()} == {
+        (1, "ten", "twenty"), (2, "twenty", None), (3, None, "ten"),
+    }
+    assert {r.id for r in ops.lookup(facts, dim, "a", "k", {}, "inner").collect()} == {1, 2}
+    with pytest.raises(ValueError):
+        ops.lookup(facts, dim, "a", "k", {}, "full")
+
+
+def test_with_child_keeps_each_parent_once(spark):
+    parents = spark.createDataFrame([(1,), (2,), (3,)], "id int")
+    children = spark.createDataFrame([(1,), (1,), (1,), (3,), (4,), (None,)], "parent int")
+    assert sorted(r.id for r in ops.with_child(parents, children, "id", "parent").collect()) == [1, 3]
