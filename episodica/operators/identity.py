@@ -32,8 +32,8 @@ def merge_ids(
 ) -> DataFrame:
     """Aggregate facts to the entities their ids belong to. ``merged`` merges the ``per_id`` aggregates of an entity.
 
-    By default the facts shrink to one row per id before they meet the members, and those rows to one per entity: neither
-    a hot id nor a hot entity puts its rows into one task, and the join is one row to one row. With ``small`` (members
+    By default the facts shrink to one row per id before they meet the members, and those rows to one per entity:
+    neither a hot id nor a hot entity puts its rows into one task, and the join is one row to one row. With ``small`` (members
     that are known to fit into every executor) the members are broadcast and filter the facts before any shuffle; the
     map-side combine then works on entities.
     """

@@ -35,9 +35,9 @@ def attach_first_so_far(
 ) -> DataFrame:
     """Every row with, per output name, the first value that met its condition up to and including this row's order.
 
-    ``values`` maps an output name to the expressions (value, condition). Rows with equal order see each other. The first qualifying
-    row of the whole entity is the first of any frame that reaches it, so one aggregate and a comparison replace the
-    running window.
+    ``values`` maps an output name to the expressions (value, condition). Rows with equal order see each other. The first
+    qualifying row of the whole entity is the first of any frame that reaches it, so one aggregate and a comparison
+    replace the running window.
     """
     firsts = {f"_first_{out}": earliest(order, tie, v, cond) for out, (v, cond) in values.items()}
     found = attach(rows, by, firsts)

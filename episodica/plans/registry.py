@@ -211,24 +211,18 @@ JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
 JOIN supplier ON s_suppkey = l_suppkey
 JOIN nation cn ON cn.n_nationkey = c_nationkey JOIN nation sn ON sn.n_nationkey = s_nationkey GROUP BY 1, 2""")
 def role_playing_dim(t):
-    # Lines per order and supplier nation, then per customer: each join meets a fact already reduced to its keys.
+    # Orders meet customers first, so the line items shuffle once; the names join the counts, not the lines.
     nation = t["nation"]
-    lines = ops.lookup(
-        t["lineitem"].select("l_orderkey", "l_suppkey"),
-        ops.lookup(t["supplier"], nation, "s_nationkey", "n_nationkey", {"supplier_nation": "n_name"}, "inner"),
-        "l_suppkey",
-        "s_suppkey",
-        {"supplier_nation": "supplier_nation"},
-        "inner",
-    )
-    orders = ops.lookup(lines, t["orders"], "l_orderkey", "o_orderkey", {"o_custkey": "o_custkey"}, "inner")
-    per_customer = orders.groupBy("o_custkey", "supplier_nation").agg(F.count("*").alias("line_count"))
-    customers = ops.lookup(
-        t["customer"], nation, "c_nationkey", "n_nationkey", {"customer_nation": "n_name"}, "inner"
-    )
-    named = {"customer_nation": "customer_nation"}
-    named_lines = ops.lookup(per_customer, customers, "o_custkey", "c_custkey", named, "inner")
-    return named_lines.groupBy("customer_nation", "supplier_nation").agg(F.sum("line_count").alias("line_count"))
+    orders = t["orders"].select("o_orderkey", "o_custkey")
+    orders = ops.lookup(orders, t["customer"], "o_custkey", "c_custkey", {"customer_key": "c_nationkey"}, "inner")
+    lines = t["lineitem"].select("l_orderkey", "l_suppkey")
+    lines = ops.lookup(lines, t["supplier"], "l_suppkey", "s_suppkey", {"supplier_key": "s_nationkey"}, "inner")
+    lines = ops.lookup(lines, orders, "l_orderkey", "o_orderkey", {"customer_key": "customer_key"}, "inner")
+    counts = lines.groupBy("customer_key", "supplier_key").agg(F.count("*").alias("line_count"))
+    for role in ("customer", "supplier"):
+        named = {f"{role}_nation": "n_name"}
+        counts = ops.lookup(counts, nation, f"{role}_key", "n_nationkey", named, "inner").drop(f"{role}_key")
+    return counts.groupBy("customer_nation", "supplier_nation").agg(F.sum("line_count").alias("line_count"))
 
 
 @query(f"""
@@ -312,7 +306,7 @@ def weeks_elapsed(t):
     )
 
 
-@query(f"SELECT o_orderkey, CAST(CAST(start_date AS DATE) + 294 - {TODAY} AS INTEGER) AS days_to_due FROM {SQL_DATED} d")
+@query(f"SELECT o_orderkey, CAST(start_date + 294 - {TODAY} AS INTEGER) AS days_to_due FROM {SQL_DATED} d")
 def days_until(t):
     due = RULE.due(F.col("start_date")).cast("date")
     return dated(t).select("o_orderkey", days_between(due, today()).alias("days_to_due"))

@@ -252,7 +252,8 @@ def responsible(t: Tables, members: Members) -> DataFrame:
         merged={kind: F.max(kind) for kind in RECORDS},
         small=members.small,
     )
-    latest = latest.selectExpr("case_id", *[f"{kind}.{c} AS {kind}_{c}" for kind, keep in RECORDS.items() for c in keep])
+    kept = [f"{kind}.{c} AS {kind}_{c}" for kind, keep in RECORDS.items() for c in keep]
+    latest = latest.selectExpr("case_id", *kept)
     unit = {"code": "nu_cnes", "name": "no_unidade_saude"}
     team = {"code": "nu_ine", "name": "no_equipe"}
     for kind in ("registration", "attendance"):
