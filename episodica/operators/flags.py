@@ -1,41 +1,18 @@
 """Interval existence: did an event of some kind happen for the entity between two dates?
 
-Events come as one long table (key, day, flag), cases as one row per key with the bounds of a closed interval.
-
-Events shrink before they meet the bounds: per key to the distinct days of each flag, with map-side combine. Whatever
-the number of events, a key holds at most one element per flag and calendar day, and one row of days meets one row of
-bounds, without a range join. Where the cases are known to fit into every executor, they are broadcast instead and each
-event is tested in place; the map-side combine then leaves one row of booleans per case and task.
+Events come as one long table (id, day, flag), cases as one row per id with the bounds of a closed interval. Events are
+first reduced to distinct (id, day, flag) with map-side combine: whatever the number of events, an id meets its case with
+at most one row per flag and calendar day. Hits then combine to one row of booleans per case and task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _days(flags: Sequence[str]) -> list[Column]:
-    """Aggregates: the distinct days of each flag as an array."""
-    return [F.expr(f"collect_set(CASE WHEN flag = '{f}' THEN day END) AS `_days_{f}`") for f in flags]
-
-
-def _tests(flags: Sequence[str], start: str, end: str) -> dict[str, Column]:
-    """True where one of the flag's days lies in the closed interval; never NULL."""
-    tests = {f: f"exists(`_days_{f}`, day -> day >= `{start}` AND day <= `{end}`)" for f in flags}
-    return {f: F.expr(f"coalesce({test}, false)") for f, test in tests.items()}
-
-
-def with_flags(
-    cases: DataFrame, events: DataFrame, key: Sequence[str], start: str, end: str, flags: Sequence[str]
-) -> DataFrame:
-    """Cases with one boolean per flag. ``events`` has the key columns, ``day`` (date) and ``flag``."""
-    days = events.groupBy(*key).agg(*_days(flags))
-    found = cases.join(days, list(key), "left").withColumns(_tests(flags, start, end))
-    return found.drop(*[f"_days_{f}" for f in flags])
-
-
 def flags_of_ids(
     events: DataFrame,
     event_id: str,
@@ -47,15 +24,26 @@ def flags_of_ids(
     flags: Sequence[str],
     small: bool = False,
 ) -> DataFrame:
-    """Per case: one boolean per flag over the events of all its member ids; cases without events may be missing.
+    """Per case with a hit: one boolean per flag over the events of all its member ids.
 
-    ``events`` has the id column, ``day`` and ``flag``; ``members`` has the ids with their case and its bounds.
-    ``small``: the members are known to fit into every executor.
+    ``events`` has the id column, ``day`` (date) and ``flag``; ``members`` has the ids with their case and its bounds; a
+    NULL bound takes no event. With ``small`` (members that are known to fit into every executor) the members are
+    broadcast and test every event in place, before any shuffle.
     """
+    events = events.selectExpr(f"`{event_id}` AS _id", "day", "flag")
+    inside = F.expr(f"_id = `{member_id}` AND day >= `{start}` AND day <= `{end}`")
     if small:
-        inside = f"`{event_id}` = `{member_id}` AND day >= `{start}` AND day <= `{end}`"
-        hits = events.join(F.broadcast(members), F.expr(inside), "inner")
-        return hits.groupBy(case).agg(*[F.expr(f"bool_or(flag = '{f}') AS `{f}`") for f in flags])
-    by_id = events.groupBy(F.col(event_id).alias("_event_id")).agg(*_days(flags))
-    tested = by_id.join(members, F.expr(f"_event_id = `{member_id}`"), "inner").withColumns(_tests(flags, start, end))
-    return tested.groupBy(case).agg(*[F.expr(f"bool_or(`{f}`) AS `{f}`") for f in flags])
+        hits = events.join(F.broadcast(members), inside, "inner")
+    else:
+        hits = events.distinct().join(members, inside, "inner")
+    return hits.groupBy(case).agg(*[F.expr(f"bool_or(flag = '{f}') AS `{f}`") for f in flags])
+
+
+def with_flags(
+    cases: DataFrame, events: DataFrame, key: str, start: str, end: str, flags: Sequence[str]
+) -> DataFrame:
+    """Cases with one boolean per flag, never NULL. ``events`` has the key column, ``day`` (date) and ``flag``."""
+    bounds = cases.selectExpr(f"`{key}` AS _case", f"`{start}` AS _start", f"`{end}` AS _end")
+    hits = flags_of_ids(events, key, bounds, "_case", "_case", "_start", "_end", flags)
+    found = cases.join(hits, F.expr(f"`{key}` = _case"), "left").drop("_case")
+    return found.withColumns({f: F.expr(f"coalesce(`{f}`, false)") for f in flags})

@@ -618,7 +618,7 @@ def flag_union_branches(t):
     accepted = ops.lookup(lines.where("l_returnflag = 'A'"), near, "l_suppkey", "s_suppkey", {}, "inner")
     both = returned.select("l_orderkey", "l_shipdate").unionByName(accepted.select("l_orderkey", "l_shipdate"))
     return ops.with_flags(
-        customers_in_episode(t), shipped(t, both, "tested"), ["o_custkey"], "start", "due", ["tested"]
+        customers_in_episode(t), shipped(t, both, "tested"), "o_custkey", "start", "due", ["tested"]
     )
 
 
@@ -634,7 +634,7 @@ def flag_or_codes(t):
     loss = shipped(t, listed_lines(t, ["Brand#3"], [2]), "loss")
     birth = shipped(t, listed_lines(t, ["Brand#14", "Brand#9"], [7]), "birth")
     events = loss.unionByName(birth)
-    return ops.with_flags(customers_in_episode(t), events, ["o_custkey"], "start", "due", ["loss", "birth"])
+    return ops.with_flags(customers_in_episode(t), events, "o_custkey", "start", "due", ["loss", "birth"])
 
 
 # ---------------------------------------------------------------- sink and end to end

@@ -142,7 +142,7 @@ def test_with_flags(spark, seed):
     found = ops.with_flags(
         spark.createDataFrame(cases, "k int, start date, due date"),
         spark.createDataFrame(events, "k int, day date, flag string"),
-        ["k"], "start", "due", ["x", "y"],
+        "k", "start", "due", ["x", "y"],
     )
     want = {}
     for k, start, due in cases:
