@@ -1,8 +1,8 @@
 """Interval existence: did an event of some kind happen for the entity between two dates?
 
 Events come as one long table (id, day, flag), cases as one row per id with the bounds of a closed interval. Events are
-first reduced to distinct (id, day, flag) with map-side combine: whatever the number of events, an id meets its case with
-at most one row per flag and calendar day. Hits then combine to one row of booleans per case and task.
+first reduced to distinct (id, day, flag) with map-side combine: whatever the number of events, an id meets its case
+with at most one row per flag and calendar day. Hits then combine to one row of booleans per case and task.
 """
 
 from __future__ import annotations

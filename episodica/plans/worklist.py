@@ -193,8 +193,9 @@ def cohort_members(t: Tables, cases: DataFrame, rule: Rule, scratch: Scratch) ->
         seen, F.count("*").alias("count"), F.min("start").alias("first"), F.max("due").alias("last")
     )
     ids = scratch.save(found, "members")
-    last_day = seen.get["last"].date() if seen.get["last"] else None
-    return Members(ids, seen.get["count"] <= rule.broadcast_members, seen.get["first"], last_day)
+    count, first, last = (seen.get.get(name) for name in ("count", "first", "last"))
+    # A task that ran twice may be counted twice: the count can only err towards the way that fits any size.
+    return Members(ids, (count or 0) <= rule.broadcast_members, first, last.date() if last else None)
 
 
 def record_history(t: Tables, members: Members) -> DataFrame:

@@ -8,7 +8,7 @@ from __future__ import annotations
 import datetime
 
 from episodica.sources import code_sets as codes
-from episodica.sources.order_tables import HEALTH_SQL, health_sql
+from episodica.sources.order_tables import health_sql
 
 
 def _one_of(column: str, values: list[str]) -> str:
@@ -60,9 +60,7 @@ def _recorded(ciap: list[str], cid: list[str]) -> str:
 
 
 def worklist_sql(as_of: datetime.date, lookback_days: int = 294) -> str:
-    tables = ",\n".join(
-        f"{name} AS ({health_sql(name, 'duckdb').format_map(_Bare())})" for name in HEALTH_SQL
-    )
+    tables = ",\n".join(f"{name} AS ({sql.format_map(_Bare())})" for name, sql in health_sql("duckdb").items())
     today = f"DATE '{as_of}'"
     person = "PARTITION BY person_name, birth_date"
     so_far = f"OVER ({person} ORDER BY seen, id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
