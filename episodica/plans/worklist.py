@@ -121,14 +121,11 @@ def qualifying_attendances(t: Tables, rule: Rule) -> DataFrame:
 
 def cohort(t: Tables, rule: Rule) -> DataFrame:
     """One row per person: latest attendance (``case_id``), own identity columns, contact summary and episode dates."""
-    people = lookup(
-        t["tb_fat_cidadao_pec"],
-        t["tb_dim_tempo"],
-        "co_dim_tempo_nascimento",
-        "co_seq_dim_tempo",
-        {"birth_date": "dt_registro"},
-        "inner",
-    )
+
+    def with_birth_date(ids: DataFrame) -> DataFrame:
+        born = {"birth_date": "dt_registro"}
+        return lookup(ids, t["tb_dim_tempo"], "co_dim_tempo_nascimento", "co_seq_dim_tempo", born, "inner")
+
     identity = ["co_dim_tempo_nascimento", "nu_cpf_cidadao", "nu_cns", "nu_telefone_celular"]
     known_start = f"start <> DATE '{rule.dating.unknown_date}'"
     firsts = {
@@ -139,7 +136,7 @@ def cohort(t: Tables, rule: Rule) -> DataFrame:
     persons = merge_ids(
         qualifying_attendances(t, rule),
         "citizen_id",
-        people,
+        t["tb_fat_cidadao_pec"],
         "co_seq_fat_cidadao_pec",
         ["no_cidadao", "birth_date"],
         per_id={"contacts": F.count("*"), "last": F.max(F.struct("event_date", "attendance_id")), **firsts},
@@ -148,6 +145,7 @@ def cohort(t: Tables, rule: Rule) -> DataFrame:
             "latest": F.max(F.struct("last", *identity)),
             **{name: F.min(name) for name in firsts},
         },
+        resolve=with_birth_date,
     )
     dated = F.col("first_dated.value")
     dates = {"due": rule.dating.due(dated), "age": rule.dating.age(dated, rule.today)}

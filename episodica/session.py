@@ -33,7 +33,7 @@ def build_session(app: str = "episodica", master: str | None = None, **settings:
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")

@@ -1,6 +1,7 @@
 """Loaders, scratch, snapshot and the job around them."""
 
 import datetime
+from types import SimpleNamespace
 
 import pytest
 
@@ -53,6 +54,22 @@ def test_jdbc_options():
     assert "partitionColumn" not in loader.jdbc_options("tb_dim_cbo", "jdbc:x", bounds, 8)
 
 
+class Session:
+    """Just the settings a session would answer with."""
+
+    def __init__(self, master, checkpoint=None, set_later=None):
+        self.conf = {"spark.checkpoint.dir": checkpoint}
+        self.sparkContext = SimpleNamespace(master=master, getCheckpointDir=lambda: set_later)
+
+
+def test_scratch_root_is_the_shared_folder():
+    assert scratch_root(Session("spark://host:7077", "s3://shared/run/")) == "s3://shared/run"
+    assert scratch_root(Session("yarn", None, "hdfs:///later")) == "hdfs:///later"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Session("spark://host:7077"))
+    assert scratch_root(Session("local[2]")) == scratch_root(Session("local[8]"))
+
+
 def test_scratch(spark):
     scratch = Scratch(spark)
     saved = scratch.save(spark.range(5).selectExpr("id", "id + 1 AS n"), "n")
