@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import chat, mixing, quality, rollup, warc
+from episodica.llm import chat, mixing, pieces, quality, rollup, topk, warc
 from episodica.llm.common import WORD
 from episodica.session import Scratch
 
@@ -145,3 +146,26 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     """Every page written to archives and read back."""
     read = warc.archive(table(spark, folder, "pages"), Scratch(spark))
     return read.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 highest integer inner products of every vector whose id is divisible by 20."""
+    return topk.search(table(spark, folder, "embeddings"), F.coalesce(F.col("vec_id") % 20 == 0, F.lit(False)))
+
+
+def token_digests(docs: DataFrame, path: str) -> DataFrame:
+    """Token counts and digests of the ids and of the text decoded from them."""
+    decoded = pieces.decode(pieces.encode(docs, path), path)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded with an end id and decoded again."""
+    return token_digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
