@@ -63,7 +63,7 @@ IS_GAP = (_ascii == 32) | ((_ascii >= 9) & (_ascii <= 13))
 NO_LETTER = (_ascii < 128) & ~(((_ascii | 32) >= 97) & ((_ascii | 32) <= 122))
 
 
-def _hash_words(data: np.ndarray, edge: np.ndarray, gap: np.ndarray, values: np.ndarray):
+def _hash_words(data: np.ndarray, edge: np.ndarray, gap: np.ndarray, values: np.ndarray, prefixes: tuple[int, ...]):
     """Hashes and first bytes of the words of up to PIECE bytes; ``edge`` marks bytes where a new text begins."""
     word = ~gap[data]
     start = word.copy()
@@ -73,14 +73,25 @@ def _hash_words(data: np.ndarray, edge: np.ndarray, gap: np.ndarray, values: np.
     starts, stops = np.flatnonzero(start), np.flatnonzero(stop) + 1
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(values[data] * _UP[: len(data)], out=sums[1:])
-    return mix((sums[stops] - sums[starts]) * _DOWN[starts]), starts
-
-
-def words_of(column: pa.Array, gap: np.ndarray = IS_GAP, lower: bool = True) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    whole = mix((sums[stops] - sums[starts]) * _DOWN[starts])
+    if not prefixes:
+        return whole, starts
+    heads = [whole]
+    for size in prefixes:  # of a shorter word: the word again
+        longer = stops - starts > size
+        head = mix((sums[np.minimum(starts + size, len(data))] - sums[starts]) * _DOWN[starts] + np.uint64(size))
+        heads.append(np.where(longer, head, whole))
+    return np.stack(heads, axis=1).ravel(), np.repeat(starts, len(heads))
+
+
+def words_of(
+    column: pa.Array, gap: np.ndarray = IS_GAP, lower: bool = True, prefixes: tuple[int, ...] = ()
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Per run of rows: the first row, 64-bit hashes of all words in order, and the number of words of each row.
 
     Rows without text have no words. Runs hold up to PIECE bytes; a longer text is a run of its own, hashed in pieces
-    that are cut between words (a single word of over PIECE bytes is hashed by its pieces).
+    that are cut between words (a single word of over PIECE bytes is hashed by its pieces). With ``prefixes``, each word
+    is followed by the hash of its first bytes, for each of these lengths.
     """
     values = _BYTE[LOWER] if lower else _BYTE
     column = column.cast(pa.large_string())
@@ -97,7 +108,7 @@ def words_of(column: pa.Array, gap: np.ndarray = IS_GAP, lower: bool = True) ->
             edge = np.zeros(len(part) + 1, bool)
             edge[offsets[row:end] - begin] = True
             if len(part):
-                hashes, starts = _hash_words(part, edge[:-1], gap, values)
+                hashes, starts = _hash_words(part, edge[:-1], gap, values, prefixes)
                 counts = np.diff(np.searchsorted(starts, offsets[row : end + 1] - begin))
             else:
                 hashes, counts = np.zeros(0, np.uint64), np.zeros(end - row, np.int64)
@@ -106,12 +117,12 @@ def words_of(column: pa.Array, gap: np.ndarray = IS_GAP, lower: bool = True) ->
                 hashes, counts = hashes[keep], np.where(missing[row:end], 0, counts)
             yield row, hashes, counts
         else:
-            hashes = _long(data[begin : offsets[end]], gap, values)
+            hashes = _long(data[begin : offsets[end]], gap, values, prefixes)
             yield row, hashes, np.array([len(hashes)])
         row = end
 
 
-def _long(text: np.ndarray, gap: np.ndarray, values: np.ndarray) -> np.ndarray:
+def _long(text: np.ndarray, gap: np.ndarray, values: np.ndarray, prefixes: tuple[int, ...]) -> np.ndarray:
     found, at = [], 0
     while at < len(text):
         end = min(at + PIECE, len(text))
@@ -120,7 +131,7 @@ def _long(text: np.ndarray, gap: np.ndarray, values: np.ndarray) -> np.ndarray:
             if len(gaps):
                 end = at + int(gaps[-1]) + 1
         part = text[at:end]
-        found.append(_hash_words(part, np.zeros(len(part), bool), gap, values)[0])
+        found.append(_hash_words(part, np.zeros(len(part), bool), gap, values, prefixes)[0])
         at = end
     return np.concatenate(found)
 

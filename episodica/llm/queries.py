@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import chat, mixing, pieces, quality, rollup, topk, warc
-from episodica.llm.common import WORD
+from episodica.llm import chat, language, mixing, pieces, quality, rollup, topk, toxicity, warc
+from episodica.llm.common import WORD, id_crc
 from episodica.session import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,22 @@ def token_digests(docs: DataFrame, path: str) -> DataFrame:
 def op6_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded with an end id and decoded again."""
     return token_digests(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query()
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learnt from three quarters of them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.learn(docs.filter(id_crc("doc_id") % 4 != 2))
+    held_out = F.coalesce(id_crc("doc_id") % 4 == 2, F.lit(False))
+    return language.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """The toxicity of every document, learnt from four fifths of the labels."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, folder, "labels"), Scratch(spark), id_crc("doc_id") % 5 != 0)
+    scored = docs.select("doc_id", toxicity.score(model)(F.col("text")).alias("score"))
+    held_out = F.coalesce(id_crc("doc_id") % 5 == 0, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
