@@ -139,3 +139,19 @@ def mix(docs: DataFrame, scratch: Scratch, rule: Mix = Mix(), id: str = "doc_id"
     extra = F.when(F.col("rank") <= F.coalesce("left", F.lit(0)), F.lit(1)).otherwise(F.lit(0))
     repeats = F.when(F.col("size") > 0, F.col("whole") + extra).otherwise(F.lit(0)).cast("long")
     return ranked.select("doc_id", "source", "size", "source_size", "target", repeats.alias("repeats"))
+
+
+def apply(docs: DataFrame, scratch: Scratch, rule: Mix = Mix(), id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as mix() says, columns as they are.
+
+    Rows that agree in id and size are repeated alike, as often as the one that is taken most.
+    """
+    mixed = mix(docs, scratch, rule, id, text, source)
+    times = (
+        mixed.filter("repeats > 0").groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_mix_id"), F.col("size").alias("_mix_size"))
+        .agg(F.max("repeats").cast("int").alias("_mix_times"))
+    )
+    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+    sized = docs.withColumn("_mix_id", F.coalesce(F.col(id).cast("string"), F.lit(""))).withColumn("_mix_size", size)
+    repeated = sized.join(times, ["_mix_id", "_mix_size"]).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), "_mix_times")))
+    return repeated.select(*docs.columns)

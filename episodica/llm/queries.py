@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import chat, language, mixing, pieces, quality, rollup, topk, toxicity, warc
+from episodica.llm import chat, jaccard, language, mixing, pieces, quality, rollup, topk, toxicity, warc
 from episodica.llm.common import WORD, id_crc
 from episodica.session import Scratch
 
@@ -188,3 +188,10 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     scored = docs.select("doc_id", toxicity.score(model)(F.col("text")).alias("score"))
     held_out = F.coalesce(id_crc("doc_id") % 5 == 0, F.lit(False))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query()
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents that share 85 percent of their 4-word shingles."""
+    joined = jaccard.join(table(spark, folder, "documents"), Scratch(spark), jaccard.Rule(words=4, percent=85))
+    return joined.documents.select("doc_id", "n_shingles", "component_id", "class_id")
