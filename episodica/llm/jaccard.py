@@ -68,7 +68,8 @@ class Rule:
 
 
 _STEPS = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
-_KEY, _CHECK, _PART, _BAND = (np.uint64(x) for x in mix(np.arange(101, 105, dtype=np.uint64)))
+_KEY, _CHECK, _PART = (np.uint64(x) for x in mix(np.arange(101, 104, dtype=np.uint64)))
+_BAND = mix(np.arange(201, 201 + 128, dtype=np.uint64))
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -110,9 +111,9 @@ def _signatures(found: np.ndarray, mixed: np.ndarray, rule: Rule) -> Iterator[tu
         part = ((found >> np.uint64(32)) * np.uint64(rule.parts(b))) >> np.uint64(32)
         first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
         sums = np.add.reduceat(mixed, first)
-        yield (2 * b << 2 * FIELD) | (len(first) << FIELD) | (d + 1), mix(sums + part[first] * _PART + np.uint64(b) * _BAND)
+        yield (2 * b << 2 * FIELD) | (len(first) << FIELD) | (d + 1), mix(sums + part[first] * _PART + _BAND[b])
         if len(first) <= d:
-            yield ((2 * b + 1) << 2 * FIELD) | (n << FIELD) | (d + 1), mix(mixed + np.uint64(b + 64) * _BAND)
+            yield ((2 * b + 1) << 2 * FIELD) | (n << FIELD) | (d + 1), mix(mixed + _BAND[b + 64])
 
 
 def _documents(docs: DataFrame, rule: Rule, id: str, text: str) -> DataFrame:
