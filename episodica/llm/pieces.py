@@ -1,8 +1,8 @@
 """Exact encoding with a merge-type SentencePiece model by backtracking, and decoding.
 
 A sequence of pieces is what merging would give exactly if every two neighbours are: merging their joined text gives
-these two again. So the encoder takes the longest piece that matches at a position (all matches come from one
-Aho-Corasick pass), checks it against the piece before by merging the two anew (the outcome is kept), and on a dead end
+these two again. So the encoder takes the longest piece that matches at a position (from the trie of an Aho-Corasick
+automaton), checks it against the piece before by merging the two anew (the outcome is kept), and on a dead end
 marks the position as failed, steps back and takes the next shorter piece.
 
 Pieces never hold a space mark after another character, so a text is encoded in chunks that begin at space marks;
@@ -17,20 +17,23 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
+from itertools import chain
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Chunks and checked neighbours that a Python worker keeps; then it starts afresh.
-KEPT = 500_000
+#: Words that a Python worker keeps before the older half goes, and checked neighbours before they start afresh.
+KEPT = 200_000
 ROWS = 256
+#: Bits of a piece's number in the key of two neighbours.
+BITS = 21
 
 
 class Pieces:
@@ -54,12 +57,21 @@ class Pieces:
         self.byte_of = {i: b for b, i in self.bytes.items()}
         if any(MARK in p.lstrip(MARK) or p.startswith(MARK * 2) and p.strip(MARK) for p in self.ids) or len(self.bytes) != 256:
             raise ValueError("the model joins words or has no byte pieces")
-        self.automaton = ahocorasick.Automaton()
-        for piece in self.ids:
-            self.automaton.add_word(piece, len(piece))
-        self.automaton.make_automaton()
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.chunks: dict[str, tuple[int, ...]] = {}
+        self.texts = {i: p for p, i in self.ids.items()}
+        self.longest = max(map(len, self.ids))
+        self.others: dict[str, int] = {}  # characters outside the vocabulary, numbered after it
+        self.first_other = model.get_piece_size()
+        self.pairs: dict[int, bool] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        found = ahocorasick.Automaton()
+        for piece, i in self.ids.items():
+            found.add_word(piece, i)
+        found.make_automaton()
+        return found
 
     def merge(self, text: str) -> list[str]:
         """Pieces by merging: the best-ranked neighbours first, of equal ranks the leftmost."""
@@ -89,90 +101,104 @@ class Pieces:
             offer(i)
         return [p for p in parts if p is not None]
 
-    def compatible(self, left: str, right: str) -> bool:
-        """Whether merging the two joined gives them again; with an empty ``left``, whether ``right`` stays whole."""
-        key = (left, right)
-        known = self.pairs.get(key)
-        if known is None:
-            if len(self.pairs) >= KEPT:
-                self.pairs.clear()
-            known = self.pairs[key] = self.merge(left + right) == ([left, right] if left else [right])
-        return known
-
-    def split(self, chunk: str) -> list[str]:
+    def _compatible(self, left: int, right: int) -> bool:
+        """Whether merging the two joined gives them again; with no ``left`` (-1), whether ``right`` stays whole."""
+        expected = [self.texts[i] for i in (left, right) if i >= 0]
+        if len(self.pairs) >= KEPT:
+            self.pairs.clear()
+        found = self.pairs[(left + 1) << BITS | right] = self.merge("".join(expected)) == expected
+        return found
+
+    def _other(self, char: str) -> int:
+        i = self.others.setdefault(char, self.first_other + len(self.others))
+        self.texts[i] = char
+        return i
+
+    def split(self, chunk: str) -> list[int]:
         """Pieces of a chunk by longest matches and backtracking."""
-        matches: list[list[int]] = [[] for _ in chunk]
-        for last, size in self.automaton.iter(chunk):
-            matches[last - size + 1].append(size)
-        for i, sizes in enumerate(matches):
-            if not sizes or sizes[0] > 1:
-                sizes.insert(0, 1)  # a character of its own
-        failed = bytearray(len(chunk) + 1)
-        taken: list[str] = []
-        tried: list[int] = []
-        at, choice = 0, len(matches[0]) - 1
-        while at < len(chunk):
-            left = taken[-1] if taken else ""
-            while choice >= 0:
-                stop = at + matches[at][choice]
-                if not failed[stop] and self.compatible(left, chunk[at:stop]):
-                    break
-                choice -= 1
-            if choice >= 0:
-                taken.append(chunk[at:stop])
-                tried.append(choice)
-                at = stop
-                choice = len(matches[at]) - 1 if at < len(chunk) else -1
+        size, pairs, known_ids, reach = len(chunk), self.pairs, self.ids, self.longest
+        longest = self.automaton.longest_prefix
+        failed = bytearray(size + 1)
+        taken: list[int] = []
+        starts: list[int] = []
+        at, left = 0, -1
+        stop = longest(chunk[:reach]) or 1
+        while True:
+            while stop > at:
+                if not failed[stop]:
+                    i = known_ids.get(chunk[at:stop])
+                    if i is None and stop == at + 1:
+                        i = self._other(chunk[at])
+                    if i is not None:
+                        known = pairs.get((left + 1) << BITS | i)
+                        if known or known is None and self._compatible(left, i):
+                            break
+                stop -= 1
+            if stop > at:
+                taken.append(i)
+                if stop == size:
+                    return taken
+                starts.append(at)
+                at, left = stop, i
+                stop = at + (longest(chunk[at : at + reach]) or 1)
             else:
                 failed[at] = 1
                 if not taken:
                     raise ValueError("no sequence of compatible pieces")
-                at -= len(taken.pop())
-                choice = tried.pop() - 1
-        return taken
-
-    def _chunk_ids(self, chunk: str) -> tuple[int, ...]:
+                taken.pop()
+                stop, at = at - 1, starts.pop()
+                left = taken[-1] if taken else -1
+
+    def _with_bytes(self, found: list[int]) -> tuple[int, ...]:
+        if max(found) < self.first_other:
+            return tuple(found)
+        return tuple(chain.from_iterable((i,) if i < self.first_other else [self.bytes[b] for b in self.texts[i].encode()] for i in found))
+
+    def _word(self, word: str) -> tuple[int, ...]:
+        """Ids of a word with one mark before it."""
+        found = self.words.get(word)
+        if found is None:
+            found = self.older.get(word) or self._with_bytes(self.split(MARK + word))
+            if len(word) <= 64:
+                if len(self.words) >= KEPT:
+                    self.words, self.older = {}, self.words
+                self.words[word] = found
+        return found
+
+    def _chunk(self, chunk: str) -> tuple[int, ...]:
         word = chunk.lstrip(MARK)
         marks = len(chunk) - len(word)
-        if marks < 2:
-            found = self.split(chunk)
-        else:
-            # Pieces of several marks rank last: the word takes its mark first if it can.
-            found = self.split(MARK + word) if word else [MARK]
-            run = marks if found[0] == MARK else marks - 1
-            found = self.merge(MARK * run) + (found[1:] if run == marks else found)
-        ids: list[int] = []
-        for piece in found:
-            i = self.ids.get(piece)
-            ids.extend([self.bytes[b] for b in piece.encode()] if i is None else [i])
-        return tuple(ids)
-
-    def encode(self, text: str | None) -> np.ndarray:
+        if marks == 1 and word:
+            return self._word(word)
+        # Pieces of several marks rank last: the word takes its mark first if it can.
+        alone = self.ids[MARK]
+        found = self._word(word) if word else (alone,)
+        run = marks if found[0] == alone else marks - 1
+        return tuple(self.ids[p] for p in self.merge(MARK * run)) + (found[1:] if run == marks else found)
+
+    def encode(self, text: str | None) -> list[int]:
         """Ids of a text, the end id last."""
-        ids: list[int] = []
-        if text:
-            known = self.chunks
-            for chunk in CHUNK.findall(MARK + text.replace(" ", MARK)):
-                found = known.get(chunk)
-                if found is None:
-                    found = self._chunk_ids(chunk)
-                    if len(chunk) <= 64:
-                        if len(known) >= KEPT:
-                            known.clear()
-                        known[chunk] = found
-                ids.extend(found)
+        if not text:
+            return [self.end]
+        words = text.split(" ")
+        if MARK in text or "" in words:
+            found = [self._chunk(c) for c in CHUNK.findall(MARK + text.replace(" ", MARK))]
+        else:
+            found = list(map(self.words.get, words))
+            if None in found:
+                found = [self._word(w) if f is None else f for w, f in zip(words, found)]
+        ids = list(chain.from_iterable(found))
         ids.append(self.end)
-        return np.array(ids, np.int32)
+        return ids
 
-    def decode(self, ids: np.ndarray) -> str:
+    def decode(self, ids: list[int]) -> str:
         """The text of ids; the space that encoding puts in front is dropped."""
-        surface, low, high = self.surface, min(self.byte_of), max(self.byte_of)
-        values = ids.tolist()
-        if not ((ids >= low) & (ids <= high)).any():
-            text = "".join([surface[i] for i in values])
+        surface = self.surface
+        if self.byte_of.keys().isdisjoint(ids):
+            text = "".join(map(surface.__getitem__, ids))
         else:
             out, held = [], bytearray()
-            for i in values:
+            for i in ids:
                 byte = self.byte_of.get(i)
                 if byte is not None:
                     held.append(byte)
@@ -195,28 +221,30 @@ def load(path: str) -> Pieces:
 def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, ids: every whole text encoded. ``path`` is the model's place on every executor."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(path)
-        for frame in frames:
-            for i in range(0, len(frame), ROWS):
-                part = frame.iloc[i : i + ROWS]
-                yield pd.DataFrame({"doc_id": part["doc_id"], "ids": [pieces.encode(t) for t in part["text"]]})
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                ids = [np.array(pieces.encode(t), np.int32) for t in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     kind = docs.schema[id].dataType.simpleString()
-    rows = docs.select(F.col(id).cast("string").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInPandas(run, "doc_id string, ids array<int>").withColumn("doc_id", F.col("doc_id").cast(kind))
+    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
-    """doc_id, ids and the decoded text."""
+    """doc_id, ids and the decoded text; null ids are an empty text."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(path)
-        for frame in frames:
-            for i in range(0, len(frame), ROWS):
-                part = frame.iloc[i : i + ROWS]
-                yield part.assign(text=[pieces.decode(x) for x in part["ids"]])
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                texts = [pieces.decode(x or []) for x in part.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("ids"), pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    rows = encoded.select(F.col("doc_id").cast("string"), F.col(ids).alias("ids"))
-    return rows.mapInPandas(run, "doc_id string, ids array<int>, text string").withColumn("doc_id", F.col("doc_id").cast(kind))
+    rows = encoded.select("doc_id", F.col(ids).alias("ids"))
+    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
