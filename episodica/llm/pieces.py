@@ -31,6 +31,9 @@ MARK = "▁"
 CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 #: Words that a Python worker keeps before the older half goes, and checked neighbours before they start afresh.
 KEPT = 200_000
+PAIRS = 600_000
+#: Texts of up to so many characters are merged without a heap.
+SHORT = 24
 ROWS = 256
 #: Bits of a piece's number in the key of two neighbours.
 BITS = 21
@@ -64,6 +67,8 @@ class Pieces:
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
         self.older: dict[str, tuple[int, ...]] = {}
+        self.cut: dict[str, list[int]] = {}
+        self.seams = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
 
     @cached_property
     def automaton(self) -> ahocorasick.Automaton:
@@ -75,6 +80,8 @@ class Pieces:
 
     def merge(self, text: str) -> list[str]:
         """Pieces by merging: the best-ranked neighbours first, of equal ranks the leftmost."""
+        if len(text) <= SHORT:
+            return self._merge_short(list(text))
         parts: list[str | None] = list(text)
         after, before = list(range(1, len(parts) + 1)), list(range(-1, len(parts) - 1))
         heap: list[tuple[float, int, int, str]] = []
@@ -101,10 +108,22 @@ class Pieces:
             offer(i)
         return [p for p in parts if p is not None]
 
+    def _merge_short(self, parts: list[str]) -> list[str]:
+        rank = self.scores.get
+        while True:
+            best, at = None, 0
+            for i in range(len(parts) - 1):
+                score = rank(parts[i] + parts[i + 1])
+                if score is not None and (best is None or score > best):
+                    best, at = score, i
+            if best is None:
+                return parts
+            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
     def _compatible(self, left: int, right: int) -> bool:
         """Whether merging the two joined gives them again; with no ``left`` (-1), whether ``right`` stays whole."""
         expected = [self.texts[i] for i in (left, right) if i >= 0]
-        if len(self.pairs) >= KEPT:
+        if len(self.pairs) >= PAIRS:
             self.pairs.clear()
         found = self.pairs[(left + 1) << BITS | right] = self.merge("".join(expected)) == expected
         return found
@@ -149,6 +168,24 @@ class Pieces:
                 stop, at = at - 1, starts.pop()
                 left = taken[-1] if taken else -1
 
+    def _parts(self, chunk: str) -> list[int]:
+        """Pieces of a chunk, cut first where no piece holds the two neighbouring characters: no merge crosses there."""
+        cuts = [i for i in range(1, len(chunk)) if chunk[i - 1 : i + 1] not in self.seams]
+        if not cuts:
+            return self.split(chunk)
+        found = []
+        for start, stop in zip([0, *cuts], [*cuts, len(chunk)]):
+            part = chunk[start:stop]
+            known = self.cut.get(part)
+            if known is None:
+                known = self.split(part)
+                if len(part) <= 64:
+                    if len(self.cut) >= KEPT:
+                        self.cut.clear()
+                    self.cut[part] = known
+            found += known
+        return found
+
     def _with_bytes(self, found: list[int]) -> tuple[int, ...]:
         if max(found) < self.first_other:
             return tuple(found)
@@ -158,7 +195,7 @@ class Pieces:
         """Ids of a word with one mark before it."""
         found = self.words.get(word)
         if found is None:
-            found = self.older.get(word) or self._with_bytes(self.split(MARK + word))
+            found = self.older.get(word) or self._with_bytes(self._parts(MARK + word))
             if len(word) <= 64:
                 if len(self.words) >= KEPT:
                     self.words, self.older = {}, self.words
