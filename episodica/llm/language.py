@@ -166,13 +166,14 @@ class Model:
 def best_path(scores: np.ndarray, switch: float) -> np.ndarray:
     """The labels of words with the highest sum of scores less ``switch`` per change (Viterbi).
 
-    If no stretch of words gains more than ``switch`` under another language, one label throughout is the best path: a
-    detour of k stretches gains at most k times that and costs at least as much. Else the table is filled word by word.
+    If no stretch of words gains more than half of ``switch`` under another language, one label throughout is the best
+    path: k stretches of other languages gain at most k halves, and cost k - 1 changes at least where k is 2 or more.
+    Else the table is filled word by word.
     """
     one = int(np.argmax(scores.sum(axis=0)))
     gains = np.cumsum(scores - scores[:, one : one + 1], axis=0)
     low = np.minimum.accumulate(np.vstack([np.zeros(scores.shape[1]), gains[:-1]]), axis=0)
-    if (gains - low).max() <= switch:
+    if (gains - low).max() <= switch / 2:
         return np.full(len(scores), one)
     value = scores[0].tolist()
     langs = range(len(value))
