@@ -1,7 +1,10 @@
 """The batch job: read the source tables, build the worklist, store it as a snapshot.
 
-    spark-submit -m episodica.job --files s3://lake/health --target care.gestantes_busca_ativa
-    spark-submit -m episodica.job --catalog health --target care.gestantes_busca_ativa --as-of 2024-06-30
+    spark-submit --py-files episodica.zip episodica/job.py --files s3://lake/health --target care.prenatal_worklist
+    spark-submit --py-files episodica.zip episodica/job.py --catalog health --target care.prenatal_worklist
+
+The result outlives the job in a persistent catalog (``spark.sql.catalogImplementation=hive`` or a catalog of the
+launcher's); without one, ``--location`` is required and holds the tables' files.
 """
 
 from __future__ import annotations
@@ -23,6 +26,10 @@ def current_day(spark: SparkSession) -> datetime.date:
     return spark.range(1).select(F.current_date()).first()[0]
 
 
+def _in_memory(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.catalogImplementation", "in-memory") == "in-memory"
+
+
 def build_snapshot(
     spark: SparkSession, tables: Tables, target: str, rule: Rule | None = None, location: str | None = None
 ) -> DataFrame:
@@ -46,6 +53,10 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--as-of", type=datetime.date.fromisoformat, help="reference day, default today")
     given = parser.parse_args(arguments)
     spark = build_session("episodica worklist")
+    if not given.location and given.target.count(".") < 2 and _in_memory(spark):
+        parser.error("the session's catalog ends with the session: configure a persistent one or give --location")
+    if "." in given.target:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {given.target.rpartition('.')[0]}")
     tables = from_files(spark, given.files, given.format) if given.files else from_catalog(spark, given.catalog)
     build_snapshot(spark, tables, given.target, Rule(given.as_of or current_day(spark)), given.location)
 

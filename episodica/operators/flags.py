@@ -22,21 +22,16 @@ def flags_of_ids(
     start: str,
     end: str,
     flags: Sequence[str],
-    small: bool = False,
 ) -> DataFrame:
     """Per case with a hit: one boolean per flag over the events of all its member ids.
 
     ``events`` has the id column, ``day`` (date) and ``flag``; ``members`` has the ids with their case and its bounds; a
-    NULL bound takes no event. With ``small`` (members that are known to fit into every executor) the members are
-    broadcast and test every event in place, before any shuffle.
+    NULL bound takes no event.
     """
     events = events.selectExpr(f"`{event_id}` AS _id", "day", "flag")
     inside = F.expr(f"_id = `{member_id}` AND day >= `{start}` AND day <= `{end}`")
-    if small:
-        hits = events.join(F.broadcast(members), inside, "inner")
-    else:
-        hits = events.distinct().join(members, inside, "inner")
-    return hits.groupBy(case).agg(*[F.expr(f"bool_or(flag = '{f}') AS `{f}`") for f in flags])
+    hits = events.distinct().join(members, inside, "inner")
+    return hits.groupBy(case).agg(*[F.bool_or(F.col("flag") == f).alias(f) for f in flags])
 
 
 def with_flags(

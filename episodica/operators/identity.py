@@ -28,21 +28,14 @@ def merge_ids(
     entity: Sequence[str],
     per_id: dict[str, Column],
     merged: dict[str, Column],
-    small: bool = False,
     resolve: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Aggregate facts to the entities their ids belong to. ``merged`` merges the ``per_id`` aggregates of an entity.
 
-    By default the facts shrink to one row per id before they meet the members, and those rows to one per entity:
-    neither a hot id nor a hot entity puts its rows into one task, and the join is one row to one row. With ``small``
-    (members that are known to fit into every executor) the members are broadcast and filter the facts before any
-    shuffle; the map-side combine then works on entities. ``resolve`` may add entity columns to the rows per id.
+    The facts shrink to one row per id before they meet the members, and those rows to one per entity: neither a hot id
+    nor a hot entity puts its rows into one task, and the join is one row to one row. ``resolve`` may add entity columns
+    to the rows per id.
     """
-    if small:
-        joined = facts.join(F.broadcast(members), F.expr(f"`{fact_id}` = `{member_id}`"), "inner")
-        if resolve:
-            joined = resolve(joined)
-        return joined.groupBy(*entity).agg(*[m.alias(n) for n, m in per_id.items()])
     by_id = facts.groupBy(F.col(fact_id).alias("_fact_id")).agg(*[m.alias(n) for n, m in per_id.items()])
     joined = by_id.join(members, F.expr(f"_fact_id = `{member_id}`"), "inner")
     if resolve:

@@ -3,7 +3,7 @@
 Three stages, each a few shuffles on its own key:
 
 1. cohort   - qualifying attendances, summarised per citizen id, then per person (name and birth date); written.
-2. members  - all citizen ids of the cohort's persons (same name and birth key); written, size and date range observed.
+2. members  - all citizen ids of the cohort's persons (same name and birth key); written, date range read back.
 3. worklist - latest records and event flags of the members, one row per case, joined to the cohort.
 
 Only the latest attendance of a person survives, so the running windows over a person's attendances end as aggregates of
@@ -16,7 +16,7 @@ import datetime
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodica.functions import (
@@ -60,9 +60,6 @@ class Rule:
     as_of: datetime.date
     dating: Dating = field(default_factory=Dating)
     lookback_days: int = 294
-    # Member ids up to this number are sent to every executor to filter the facts before any shuffle
-    # (two bigints, a date and a timestamp each); beyond it the facts shuffle, shrunk to one row per id and task.
-    broadcast_members: int = 1_000_000
 
     @property
     def today(self) -> Column:
@@ -82,15 +79,15 @@ def problem_groups(t: Tables, groups: dict[str, tuple[list[str], list[str]]]) ->
     """(attendance_id, group) for problem rows whose CIAP or CID code is listed for the group."""
 
     def listed(dim: DataFrame, code: str, position: int) -> DataFrame:
-        group = F.coalesce(*[F.when(in_codes(code, c[position]), F.lit(g)) for g, c in groups.items()])
-        return dim.withColumn("group", group).where(F.col("group").isNotNull())
+        found = F.array_compact(F.array(*[F.when(in_codes(code, c[position]), F.lit(g)) for g, c in groups.items()]))
+        return dim.withColumn("group", found).where(F.size("group") > 0)
 
     rows = t["tb_fat_atd_ind_problemas"]
     rows = lookup(rows, listed(t["tb_dim_ciap"], "nu_ciap", 0), "co_dim_ciap", "co_seq_dim_ciap", {"by_ciap": "group"})
     rows = lookup(rows, listed(t["tb_dim_cid"], "nu_cid", 1), "co_dim_cid", "co_seq_dim_cid", {"by_cid": "group"})
     return rows.where(F.col("by_ciap").isNotNull() | F.col("by_cid").isNotNull()).select(
         F.col("co_fat_atd_ind").alias("attendance_id"),
-        F.explode(F.array_compact(F.array("by_ciap", "by_cid"))).alias("group"),
+        F.explode(F.flatten(F.array_compact(F.array("by_ciap", "by_cid")))).alias("group"),
     )
 
 
@@ -169,37 +166,26 @@ class Members:
     """Every citizen id with the name and birth key of a case: (member_id, case_id, start, due)."""
 
     ids: DataFrame
-    small: bool
     first_day: datetime.date | None
     last_day: datetime.date | None
 
-    def prune(self, facts: DataFrame, id_column: str) -> DataFrame:
-        """Facts of members only, where that needs no shuffle; otherwise all facts."""
-        if not self.small:
-            return facts
-        wanted = F.broadcast(self.ids.selectExpr("member_id AS _member"))
-        return facts.join(wanted, F.expr(f"`{id_column}` = _member"), "left_semi")
-
 
 def cohort_members(t: Tables, cases: DataFrame, rule: Rule, scratch: Scratch) -> Members:
-    """The cohort's members, written; their number and the span of their episodes are observed on the way."""
+    """The cohort's members, written, and the span of their episodes, read back from there."""
     natural_key = ["no_cidadao", "co_dim_tempo_nascimento"]
     carry = ["case_id", "start", "due"]
     found = members_of(t["tb_fat_cidadao_pec"], "co_seq_fat_cidadao_pec", natural_key, cases, carry)
-    seen = Observation()
-    found = found.withColumnRenamed("co_seq_fat_cidadao_pec", "member_id").observe(
-        seen, F.count("*").alias("count"), F.min("start").alias("first"), F.max("due").alias("last")
-    )
-    ids = scratch.save(found, "members")
-    count, first, last = (seen.get.get(name) for name in ("count", "first", "last"))
-    # A task that ran twice may be counted twice: the count can only err towards the way that fits any size.
-    return Members(ids, (count or 0) <= rule.broadcast_members, first, last.date() if last else None)
+    ids = scratch.save(found.withColumnRenamed("co_seq_fat_cidadao_pec", "member_id"), "members")
+    seen = ids.agg(F.min("start").alias("first"), F.max("due").alias("last"), F.count("start").alias("started")).first()
+    if seen["started"] and (seen["first"] is None or seen["last"] is None):
+        raise ValueError("members have a start but no span of days")
+    return Members(ids, seen["first"], seen["last"].date() if seen["last"] else None)
 
 
 def record_history(t: Tables, members: Members) -> DataFrame:
     """All records that "latest" is asked of, in one long table: citizen_id, kind, time_key, record_id, payload."""
     home = lookup(
-        members.prune(t["tb_fat_cad_dom_familia"], "co_fat_cidadao_pec"),
+        t["tb_fat_cad_dom_familia"],
         t["tb_fat_cad_domiciliar"],
         "co_fat_cad_domiciliar",
         "co_seq_fat_cad_domiciliar",
@@ -249,7 +235,6 @@ def responsible(t: Tables, members: Members) -> DataFrame:
         ["case_id"],
         per_id,
         merged={kind: F.max(kind) for kind in RECORDS},
-        small=members.small,
     )
     kept = [f"{kind}.{c} AS {kind}_{c}" for kind, keep in RECORDS.items() for c in keep]
     latest = latest.selectExpr("case_id", *kept)
@@ -292,14 +277,15 @@ def episode_events(t: Tables, members: Members) -> DataFrame:
     in_range = in_key_range(days)
 
     def timely(fact: str) -> DataFrame:
-        return members.prune(t[fact].where(in_range), "co_fat_cidadao_pec")
+        return t[fact].where(in_range)
 
     def tests(fact: str, procedure: str, occupation: str, sets: dict[str, list[str]]) -> DataFrame:
-        flag = F.coalesce(*[F.when(in_codes("co_proced", listed), F.lit(name)) for name, listed in sets.items()])
-        procedures = t["tb_dim_procedimento"].withColumn("flag", flag).where(F.col("flag").isNotNull())
+        found = F.array_compact(F.array(*[F.when(in_codes("co_proced", c), F.lit(name)) for name, c in sets.items()]))
+        procedures = t["tb_dim_procedimento"].withColumn("flag", found).where(F.size("flag") > 0)
         occupations = t["tb_dim_cbo"].where(starts_with_any(F.col("nu_cbo"), codes.TEST_OCCUPATIONS))
         rows = lookup(timely(fact), procedures, procedure, "co_seq_dim_procedimento", {"flag": "flag"}, "inner")
-        return lookup(rows, occupations, occupation, "co_seq_dim_cbo", {}, "inner")
+        rows = lookup(rows, occupations, occupation, "co_seq_dim_cbo", {}, "inner")
+        return rows.withColumn("flag", F.explode("flag"))
 
     standalone = {"hiv": codes.HIV_STANDALONE, "syphilis": codes.SYPHILIS_STANDALONE}
     evaluated = {"hiv": codes.HIV_EVALUATED, "syphilis": codes.SYPHILIS_EVALUATED}
@@ -372,6 +358,6 @@ def worklist(
     lookups = responsible(t, members)
     events = episode_events(t, members)
     flags = flags_of_ids(
-        events, "citizen_id", members.ids, "member_id", "case_id", "start", "due", FLAGS, members.small
+        events, "citizen_id", members.ids, "member_id", "case_id", "start", "due", FLAGS
     )
     return present(cases.join(lookups, "case_id", "left").join(flags, "case_id", "left"), rule, built_at)

@@ -32,9 +32,25 @@ def conform(df: DataFrame, name: str) -> DataFrame:
 
 
 def from_files(spark: SparkSession, root: str, fmt: str = "parquet", suffix: str = "", **options: str) -> Tables:
-    """``root/<table><suffix>`` for each table, in any file format Spark reads (parquet, orc, csv, json)."""
+    """``root/<table><suffix>`` for each table, in any file format Spark reads (parquet, orc, csv, json).
+
+    Parquet, ORC and CSV with a header must have all declared columns; a missing one raises. CSV without a header is
+    read by position, and JSON by name, where a record may leave out what is null.
+    """
     reader = spark.read.format(fmt).options(**options)
-    return {name: reader.schema(schema).load(f"{root}/{name}{suffix}") for name, schema in SCHEMAS.items()}
+    unnamed = fmt == "json" or fmt == "csv" and str(options.get("header", "false")).lower() != "true"
+
+    def load(name: str, schema: str) -> DataFrame:
+        path = f"{root}/{name}{suffix}"
+        if unnamed:
+            return spark.read.format(fmt).options(**options).schema(schema).load(path)
+        found = reader.load(path)
+        missing = {c.lower() for c in columns(name)} - {c.lower() for c in found.columns}
+        if missing:
+            raise ValueError(f"{path} has no column {', '.join(sorted(missing))}")
+        return conform(found, name)
+
+    return {name: load(name, schema) for name, schema in SCHEMAS.items()}
 
 
 def from_catalog(spark: SparkSession, schema: str | None = None) -> Tables:

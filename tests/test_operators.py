@@ -90,9 +90,8 @@ def test_latest_by(spark, seed):
     assert {(r.name, r.nr): (r.id, r.seen, r.value) for r in found.collect()} == want
 
 
-@pytest.mark.parametrize("small", [False, True])
 @pytest.mark.parametrize("seed", SEEDS)
-def test_ids_to_persons(spark, seed, small):
+def test_ids_to_persons(spark, seed):
     """identity, merged aggregates and flags over several ids per person; a hot id and a hot person."""
     r = random.Random(seed)
     people = [(i, None if i % 7 == 0 else "hot" if i % 3 == 0 else f"p{i // 4}", i % 2) for i in range(40)]
@@ -114,9 +113,8 @@ def test_ids_to_persons(spark, seed, small):
         events, "who", members, "pid", ["case_id"],
         per_id={"n": F.count("*"), "best": best},
         merged={"n": F.sum("n"), "best": F.max("best")},
-        small=small,
     )
-    flags = ops.flags_of_ids(events, "who", members, "pid", "case_id", "start", "due", ["x", "y"], small=small)
+    flags = ops.flags_of_ids(events, "who", members, "pid", "case_id", "start", "due", ["x", "y"])
 
     want_latest, want_flags = {}, {}
     for c in cases:

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from episodica.plans.registry import REGISTRY
 from episodica import operators as ops
 from episodica.plans.registry import AS_OF
 from episodica.plans.worklist import Rule, cohort, qualifying_attendances
@@ -24,7 +25,7 @@ def plan(df, mode="formatted") -> str:
     return text.getvalue()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_no_pairs_no_windows_no_python(spark, name):
     text = plan(entry.queries()[name](spark, FOLDER))
     for operator in ("BroadcastNestedLoopJoin", "CartesianProduct", "Window", "Python", "Pandas"):

@@ -5,12 +5,13 @@ import os
 import pytest
 
 import __spark_entry__ as entry
+from episodica.plans.registry import REGISTRY
 from tests.compare import differences
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_same_as_sql(spark, name):
     assert differences(entry.queries()[name], entry.oracle_sql()[name], spark, FOLDER) == []
 

@@ -97,3 +97,22 @@ def test_job(spark, tmp_path):
     assert row.gestante_nome == "maria" and row.atendimento_odontologico_realizado
     assert len(stored.columns) == 28 and row.criacao_data is not None
     assert isinstance(current_day(spark), datetime.date)
+
+
+def test_a_missing_column_raises(spark, tmp_path):
+    for name, schema in loader.SCHEMAS.items():
+        spark.createDataFrame([], schema).write.parquet(str(tmp_path / name))
+    loader.from_files(spark, str(tmp_path))
+    name = "tb_fat_atendimento_individual"
+    spark.createDataFrame([], loader.SCHEMAS[name]).drop("co_dim_tempo_dum").write.mode("overwrite").parquet(str(tmp_path / name))
+    with pytest.raises(ValueError, match="co_dim_tempo_dum"):
+        loader.from_files(spark, str(tmp_path))
+
+
+def test_every_line_item_has_its_day(spark):
+    from episodica.sources.order_tables import OrderTables, health_tables
+
+    folder = "/root/testdata/sf0.01"
+    days = health_tables(spark, folder)["tb_dim_tempo"]
+    shipped = OrderTables(spark, folder)["lineitem"].selectExpr("CAST(l_shipdate AS DATE) AS dt_registro")
+    assert shipped.join(days, "dt_registro", "left_anti").count() == 0

@@ -147,10 +147,10 @@ def build() -> Clinic:
     return c
 
 
-@pytest.fixture(scope="module", params=[1_000_000, 0], ids=["small members", "large members"])
+@pytest.fixture(scope="module")
 def found(request, spark):
     t = build().tables(spark)
-    rows = worklist(spark, t, Rule(AS_OF, broadcast_members=request.param)).collect()
+    rows = worklist(spark, t, Rule(AS_OF)).collect()
     people = {}
     for row in rows:
         people.setdefault(row.gestante_nome, []).append(row)
@@ -371,7 +371,7 @@ def test_order_partitions_and_repeated_problems_do_not_matter(spark):
     for rows in clinic.rows.values():
         rows.reverse()
     t = {name: df.repartition(3) for name, df in clinic.tables(spark).items()}
-    again = worklist(spark, t, Rule(AS_OF, broadcast_members=0)).drop("criacao_data").collect()
+    again = worklist(spark, t, Rule(AS_OF)).drop("criacao_data").collect()
     assert sortable(plain) == sortable(again)
 
 
