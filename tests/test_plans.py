@@ -9,9 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from episodica.plans.registry import REGISTRY
 from episodica import operators as ops
-from episodica.plans.registry import AS_OF
+from episodica.plans.registry import AS_OF, REGISTRY
 from episodica.plans.worklist import Rule, cohort, qualifying_attendances
 from episodica.sources.order_tables import health_tables
 
