@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 LEVELS = (1, 4, 16)
+#: Queries whose bounds are held at a time.
+ROWS = 128
 FOUND = "query long, qkey long, id long, score long"
 
 
@@ -73,18 +75,25 @@ def best_pairs(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray,
         for segments in LEVELS:
             (q_mean, q_dev), (x_mean, x_dev) = _statistics(q, segments), _statistics(x, segments)
             bound = np.hstack([q_mean, q_dev]) @ np.hstack([x_mean, x_dev]).T
-            bound += 1e-9 * np.abs(bound) + 1e-6
-            if segments == LEVELS[0] and len(x) > k:
-                # The k candidates with the highest coarse bounds give each query a first k-th best score.
-                first = np.argpartition(np.where(own, -np.inf, bound), len(x) - k, axis=1)[:, len(x) - k :]
-                scores = np.einsum("qd,qkd->qk", q, x[first])
-                usable = ~np.take_along_axis(own, first, 1)
-                floor = np.where(usable.all(axis=1), scores.min(axis=1), -np.inf)
+            bound += 1e-9 * np.abs(bound).max() + 1e-6
             alive &= bound >= floor[:, None]
-        at_q, at_x = np.nonzero(alive)
-        if len(at_q) > alive.size // 8:
-            found = (q @ x.T)[at_q, at_x]
+            if len(x) > k:
+                # The k candidates with the highest bounds raise each query's k-th best score so far.
+                bound[~alive] = -np.inf
+                first = np.argpartition(bound, len(x) - k, axis=1)[:, len(x) - k :]
+                usable = np.take_along_axis(alive, first, 1).all(axis=1)
+                reached = np.einsum("qd,qkd->qk", q, x[first]).min(axis=1)
+                floor = np.where(usable, np.maximum(floor, reached), floor)
+        alive &= bound >= floor[:, None]
+        if np.count_nonzero(alive) > alive.size // 8:  # bounds that hardly tell: one product for all, then the k-th best
+            exact_scores = q @ x.T
+            exact_scores[~alive] = -np.inf
+            if len(x) > k:
+                alive &= exact_scores >= np.partition(exact_scores, len(x) - k, axis=1)[:, len(x) - k, None]
+            at_q, at_x = np.nonzero(alive)
+            found = exact_scores[at_q, at_x]
         else:
+            at_q, at_x = np.nonzero(alive)
             found = np.concatenate([np.einsum("nd,nd->n", q[at_q[i : i + 65536]], x[at_x[i : i + 65536]]) for i in range(0, len(at_q), 65536)] or [np.zeros(0)])
         found = np.rint(found).astype(np.int64)
     order = np.lexsort((at_x, ~found, at_q))
@@ -118,7 +127,9 @@ def search(vectors: DataFrame, is_query: Column, rule: Search = Search(), id: st
         width = -(-width // LEVELS[-1]) * LEVELS[-1]
         ids = right["id"].to_numpy(np.int64)
         asked = left["id"].to_numpy(np.int64)
-        q, x, score = best_pairs(_matrix(left["v"], width), asked, _matrix(right["v"], width), ids, rule.k)
+        wanted, offered = _matrix(left["v"], width), _matrix(right["v"], width)
+        found = [(at, best_pairs(wanted[at : at + ROWS], asked[at : at + ROWS], offered, ids, rule.k)) for at in range(0, len(asked), ROWS)]
+        q, x, score = (np.concatenate(parts) for parts in zip(*((at + q, x, score) for at, (q, x, score) in found)))
         return pd.DataFrame({"query": asked[q], "qkey": left["qkey"].to_numpy(np.int64)[q], "id": ids[x], "score": score})
 
     met = queries.groupBy("qb", "xb").cogroup(others.groupBy("qb", "xb")).applyInPandas(meet, FOUND)
