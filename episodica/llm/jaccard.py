@@ -12,10 +12,13 @@ share in order of rarity is among those of both.
 
 Within a region, the most central member (most parts shared with others) is the pivot; the others get their distance
 from it, and those within r are linked to it. Where a region then still holds several components, it is divided anew:
-small ones are compared pair by pair, between components and within the triangle-inequality window (two members whose
-distances from a pivot differ by more than r can't be linked); larger ones get several pivots, a member goes to the
-region of its nearest pivot and, as a copy, to each whose distance is at most 2 r more, and these regions are joined in
-turn. A region that pivots don't separate is compared pair by pair between its components.
+large ones get several pivots, a member goes to the region of its nearest pivot and, as a copy, to each whose distance
+is at most 2 r more, and these regions are joined in turn. Small ones, and those that pivots don't separate, are joined
+between their components by what their members differ in from the pivot: sets s and t differ in |s'| + |t'| - 2 |s' & t'|
+shingles, where s' and t' are their differences from it. So a link needs a number of common differences that adds up
+from one term of each set; each set is found by its rarest differences, as many as leave too few others for a link. Of
+the candidates, those outside the triangle-inequality window (two members whose distances from a pivot differ by more
+than r can't be linked) go, and the others are measured.
 
 The links that are returned connect every component; further pairs within a component are not listed.
 
@@ -48,7 +51,7 @@ FIELD = 28
 class Rule:
     words: int = 5
     percent: int = 80
-    #: Regions of up to so many members are compared pair by pair.
+    #: Regions of up to so many members get no further pivots.
     leaf: int = 64
     pivots: int = 8
 
@@ -290,6 +293,58 @@ def _open(regions: DataFrame, labels: DataFrame, *kept: str) -> DataFrame:
     return named.join(spread.filter("low != high").select("region", "members"), "region").select("region", "cls", "central", "component", "members", *kept)
 
 
+def _candidates(group: DataFrame, labels: DataFrame, sets: DataFrame, rule: Rule, scratch: Scratch, name: str) -> DataFrame:
+    """a, b: pairs of ``group`` (pivot, cls, component, far) to be measured; they hold links that connect what is linked.
+
+    With q = 100 + percent and a set's excess e = q * differences - (100 - percent) * size, two sets are linked if and
+    only if 2 q * (common differences) >= e + e'. Where the sum isn't above 0, all pairs are links, and the member with the
+    lowest excess is in one with every member of such a pair. Other links need common differences; how many at least
+    follows from the lowest excess among the partners: members of the pivot's component (inside) have partners outside
+    only, the others have both.
+    """
+    q = 100 + rule.percent
+    centre = sets.select(F.col("cls").alias("pivot"), F.col("shingles").alias("centre"))
+    home = labels.select(F.col("cls").alias("pivot"), F.col("component").alias("home"))
+    differs = F.concat(F.array_except("shingles", "centre"), F.array_except("centre", "shingles"))
+    rows = group.distinct().join(sets, "cls").join(centre, "pivot").join(home, "pivot", "left").select(
+        "pivot", "cls", "component", "far", (F.col("component") == F.coalesce("home", "pivot")).alias("inside"),
+        (F.size(differs) * q - F.size("shingles") * (100 - rule.percent)).alias("excess"), differs.alias("differs"),
+    )
+    rows = scratch.save(rows, f"{name}-differences")
+    lows = rows.groupBy("pivot").agg(
+        F.min(F.when(F.col("inside"), F.col("excess"))).alias("low_in"), F.min(F.when(~F.col("inside"), F.col("excess"))).alias("low_out"),
+        F.min(F.struct("excess", "cls", "component")).alias("low"),
+    )
+    bound = rows.join(lows, "pivot")
+    sure = bound.filter((F.col("excess") + F.col("low.excess") <= 0) & (F.col("component") != F.col("low.component")))
+    size = F.size("differs")
+
+    def places(low: str) -> Column:
+        return size + 1 - F.greatest(F.lit(1), F.ceil((F.col("excess") + F.col(low)) / (2 * q)))
+
+    # Differences that a single member has are its rarest; they take places and find nobody.
+    parts = bound.select(
+        "pivot", "cls", "component", "far", "inside", "excess", size.alias("size"), F.explode("differs").alias("part"),
+        places("low_out").alias("to_out"), F.when(~F.col("inside"), places("low_in")).alias("to_in"),
+    )
+    common = rows.select("pivot", F.explode("differs").alias("part")).groupBy("pivot", "part").agg(F.count("*").alias("n")).filter("n > 1")
+    own = Window.partitionBy("pivot", "cls")
+    ranked = parts.join(common, ["pivot", "part"]).withColumn("alone", F.col("size") - F.count("*").over(own))
+    ranked = ranked.withColumn("place", F.row_number().over(own.orderBy("n", "part")) + F.col("alone"))
+    found = scratch.save(ranked.filter(F.col("place") <= F.greatest("to_out", "to_in")).drop("alone", "n", "size"), f"{name}-places")
+    one = found.filter(F.col("place") <= F.col("to_out"))
+    other = found.filter(~F.col("inside"))
+    kept = ("cls", "component", "far", "inside", "excess", "place", "to_out", "to_in")
+    left = one.select("pivot", "part", *(F.col(c).alias(f"a_{c}") for c in kept))
+    right = other.select("pivot", "part", *(F.col(c).alias(f"b_{c}") for c in kept))
+    across = F.col("a_inside") & (F.col("b_place") <= F.col("b_to_in"))
+    outside = ~F.col("a_inside") & (F.col("b_place") <= F.col("b_to_out")) & (F.col("a_cls") < F.col("b_cls")) & (F.col("a_component") != F.col("b_component"))
+    window = F.abs(F.col("a_far") - F.col("b_far")) <= rule.radius + 1e-9
+    met = left.join(right, ["pivot", "part"]).filter((across | outside) & window)
+    pairs = sure.select(F.col("cls").alias("a"), F.col("low.cls").alias("b")).unionByName(met.select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
 @dataclass(frozen=True)
 class Joined:
     documents: DataFrame  # doc_id, n_shingles, class_id, component_id, cls (class key)
@@ -322,20 +377,16 @@ def join(docs: DataFrame, scratch: Scratch, rule: Rule = Rule(), id: str = "doc_
     labels = components(links, scratch, "jaccard-components-0")
     distance = 1 - F.col("both") / F.col("either")
     near = measured.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), distance.alias("far"))
-    rest = starred.filter("cls != pivot").join(near, ["cls", "pivot"]).select("region", "cls", "central", "far")
+    rest = starred.filter("cls != pivot").join(near, ["cls", "pivot"]).select("region", "cls", "central", "far", "pivot")
     level = 0
-    todo = scratch.save(_open(rest, labels, "far"), "jaccard-open-0")
+    todo = scratch.save(_open(rest, labels, "far", "pivot"), "jaccard-open-0")
     stuck = F.lit(False)
     while not todo.isEmpty():
         level += 1
         small = (F.col("members") <= rule.leaf) | stuck
-        one, two = (
-            todo.filter(small).select("region", F.col("cls").alias(x), F.col("component").alias(f"c{x}"), F.col("far").alias(f"f{x}")) for x in "ab"
-        )
-        # Between components, and within the window of the region's pivot.
-        window = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.abs(F.col("fa") - F.col("fb")) <= rule.radius + 1e-9)
-        leaves = one.join(two, "region").filter(window).select("a", "b")
-        large = todo.filter(~small).withColumn("slot", F.pmod(F.xxhash64("cls"), F.lit(rule.pivots)))
+        group = todo.filter(small).select("pivot", "cls", "component", "far")
+        leaves = _candidates(group, labels, sets, rule, scratch, f"jaccard-leaves-{level}")
+        large = todo.filter(~small).drop("pivot").withColumn("slot", F.pmod(F.xxhash64("cls"), F.lit(rule.pivots)))
         tops = large.groupBy("region", "slot").agg(F.max(F.struct("central", "cls")).alias("top")).select("region", F.col("top.cls").alias("pivot"))
         tops = scratch.save(tops, f"jaccard-pivots-{level}")
         to_pivots = large.join(tops, "region").filter("cls != pivot")
@@ -350,9 +401,9 @@ def join(docs: DataFrame, scratch: Scratch, rule: Rule = Rule(), id: str = "doc_
         home = all_gaps.groupBy("region", "cls").agg(F.min("gap").alias("home"))
         placed = (
             all_gaps.join(home, ["region", "cls"]).filter(F.col("gap") <= F.col("home") + 2 * rule.radius + 1e-9)
-            .select(F.xxhash64("region", "pivot").alias("region"), "cls", "central", F.col("gap").alias("far"), F.col("members").alias("before"))
+            .select(F.xxhash64("region", "pivot").alias("region"), "cls", "central", F.col("gap").alias("far"), "pivot", F.col("members").alias("before"))
         )
-        todo = scratch.save(_open(placed, labels, "far", "before"), f"jaccard-open-{level}")
+        todo = scratch.save(_open(placed, labels, "far", "pivot", "before"), f"jaccard-open-{level}")
         stuck = F.col("members") * 10 > F.col("before") * 9
 
     named = classes.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
