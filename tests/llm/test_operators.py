@@ -242,6 +242,45 @@ def test_jaccard_join_against_brute_force(spark, words, percent, leaf):
     assert kept.columns == frame.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(expected.values()))
 
 
+@pytest.mark.parametrize("percent", [80, 60])
+def test_jaccard_candidates_connect_what_is_linked(spark, percent):
+    random.seed(percent)
+    linked = lambda x, y: 100 * len(x & y) >= percent * len(x | y)
+    rule, sets, group, home, expected, pairs = jaccard.Rule(percent=percent), {}, [], {}, [], 0
+
+    def merged(labels, links):
+        labels = dict(labels)
+        for a, b in links:
+            low, high = sorted((labels[a], labels[b]))
+            labels = {c: low if x == high else x for c, x in labels.items()}
+        return labels
+
+    for k in range(40):
+        size, pivot = random.choice([6, 12, 30, 60]), 1000 * k
+        pool = list(range(size, 2 * size))
+        own = {pivot: frozenset(range(size))}
+        for i in range(1, 20):
+            gone, more = random.sample(range(size), random.randrange(size // 2)), random.sample(pool, random.choice([0, 1, size // 4, size // 2]))
+            found = frozenset(range(size)) - set(gone) | set(more) | (set() if i % 3 else {9 * size + i})
+            if found and found not in own.values():
+                own[pivot + i] = found
+        first = merged({c: c for c in own}, [(pivot, c) for c in own if linked(own[c], own[pivot])])
+        every = [(a, b) for a in own for b in own if a < b]
+        expected.append(merged(first, [(a, b) for a, b in every if linked(own[a], own[b])]))
+        pairs += len(every)
+        group += [(pivot, c, first[c], 1 - len(x & own[pivot]) / len(x | own[pivot])) for c, x in own.items() if c != pivot]
+        sets |= own
+        home |= first
+    group = spark.createDataFrame(group, "pivot long, cls long, component long, far double")
+    labels = spark.createDataFrame(list(home.items()), "cls long, component long")
+    table = spark.createDataFrame([(c, sorted(x)) for c, x in sets.items()], "cls long, shingles array<long>")
+    found = jaccard._candidates(group, labels, table, rule, Scratch(spark), "candidates").distinct().collect()
+    assert len(found) < pairs
+    links = [(a, b) for a, b in found if linked(sets[a], sets[b])]
+    for want in expected:
+        assert merged({c: home[c] for c in want}, [(a, b) for a, b in links if a in want]) == want
+
+
 def test_jaccard_join_of_odd_rows(spark):
     got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.join(odd(spark), Scratch(spark)).documents.collect()]
     assert sorted(got, key=str) == sorted([(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (4, 1, 4), (5, 977, 5), (None, 1, None), (6, 1, 6)], key=str)
