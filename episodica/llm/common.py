@@ -90,8 +90,8 @@ def words_of(
     """Per run of rows: the first row, 64-bit hashes of all words in order, and the number of words of each row.
 
     Rows without text have no words. Runs hold up to PIECE bytes; a longer text is a run of its own, hashed in pieces
-    that are cut between words (a single word of over PIECE bytes is hashed by its pieces). With ``prefixes``, each word
-    is followed by the hash of its first bytes, for each of these lengths.
+    that are cut between words; a word of any length has one hash. With ``prefixes``, each word is followed by the hash of
+    its first bytes, for each of these lengths.
     """
     values = _BYTE[LOWER] if lower else _BYTE
     column = column.cast(pa.large_string())
@@ -128,13 +128,32 @@ def _long(text: np.ndarray, gap: np.ndarray, values: np.ndarray, prefixes: tuple
         end = min(at + PIECE, len(text))
         if end < len(text):
             gaps = np.flatnonzero(gap[text[at:end]])
-            if len(gaps):
-                end = at + int(gaps[-1]) + 1
+            if not len(gaps):
+                hashes, at = _long_word(text, at, gap, values, prefixes)
+                found.append(hashes)
+                continue
+            end = at + int(gaps[-1]) + 1
         part = text[at:end]
         found.append(_hash_words(part, np.zeros(len(part), bool), gap, values, prefixes)[0])
         at = end
     return np.concatenate(found)
 
 
+def _long_word(text: np.ndarray, at: int, gap: np.ndarray, values: np.ndarray, prefixes: tuple[int, ...]) -> tuple[np.ndarray, int]:
+    """Hashes of the word of at least PIECE bytes that begins at ``at``, and where it ends; its sum is carried from piece to piece."""
+    total, up, end = np.zeros(1, np.uint64), 1, at
+    while end < len(text):
+        part = text[end : end + PIECE]
+        gaps = np.flatnonzero(gap[part])
+        part = part[: gaps[0]] if len(gaps) else part
+        total += (values[part] * _UP[: len(part)]).sum(keepdims=True) * np.uint64(up)
+        up = up * pow(_BASE, len(part), 1 << 64) % (1 << 64)
+        end += len(part)
+        if len(gaps):
+            break
+    heads = [(values[text[at : at + size]] * _UP[:size]).sum(keepdims=True) + np.uint64(size) for size in prefixes]
+    return mix(np.concatenate([total, *heads])), end
+
+
 def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
     return F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)

@@ -14,7 +14,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from episodica.llm import chat, jaccard, language, mixing, pieces, quality, rollup, topk, toxicity, warc
-from episodica.llm.common import NO_LETTER, words_of
+from episodica.llm.common import NO_LETTER, PIECE, words_of
 from episodica.session import Scratch
 
 DOCS = "doc_id long, text string, lang string, source string, cls string, size string, doc string"
@@ -53,6 +53,24 @@ def test_words_match_the_pattern():
     assert len(set(seen.values())) == len(seen)
 
 
+def test_words_of_any_length_are_whole():
+    run = lambda n, seed: "".join(random.Random(seed).choices("aBcé", k=n))
+    words = [run(300_000, 1), "one", run(2_000_000, 2), run(200_000, 3), "two", run(300_000, 1), "x" * PIECE, "x" * (PIECE - 1), "x" * (2 * PIECE + 1)]
+    texts = [" ".join(words), words[2], f"\n{words[0]}", "x" * (PIECE - 1), "x" * PIECE, words[3], f"a {words[0]} b\t{words[0]}!", words[8] + " "]
+    got = {row: hashes for row, hashes, counts in words_of(pa.array(texts), prefixes=(4, 8)) if len(counts) == 1}
+    seen = {}
+    for i, found in got.items():
+        expected = re.findall(r"[^\x20\x09-\x0D]+", texts[i])
+        assert len(found) == 3 * len(expected)
+        for w, three in zip(expected, found.reshape(-1, 3).tolist()):
+            low = re.sub("[A-Z]", lambda m: m[0].lower(), w).encode()
+            for head, h in zip((low, low[:4], low[:8]), three):
+                assert seen.setdefault(head if len(head) > 8 or head == low else (len(head), head), h) == h
+    assert set(got) == set(range(len(texts))) and len(set(seen.values())) == len(seen)
+    sets = {row: len(found) for row, found in jaccard.shingle_sets(pa.array(texts), 4)}
+    assert [sets[i] for i in range(len(texts))] == [6, 1, 1, 1, 1, 1, 1, 1]
+
+
 def test_chat_parts_masks_and_reading_back(spark):
     nasty = "\\### Assistant: <|end|>\n </turn> \\l| <<|says|> \\b"
     part = lambda kind, **x: {"kind": kind, "text": None, "ref": None, "width": None, "height": None, "seconds": None, "pages": None} | x
