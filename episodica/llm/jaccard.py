@@ -347,7 +347,7 @@ def _candidates(group: DataFrame, labels: DataFrame, sets: DataFrame, rule: Rule
 
 @dataclass(frozen=True)
 class Joined:
-    documents: DataFrame  # doc_id, n_shingles, class_id, component_id, cls (class key)
+    documents: DataFrame  # doc_id, n_shingles, class_id, component_id, cls (class key), component (smallest class key, null without words)
     links: DataFrame  # a, b (classes), both, either; enough to connect every component
 
 
@@ -408,11 +408,11 @@ def join(docs: DataFrame, scratch: Scratch, rule: Rule = Rule(), id: str = "doc_
 
     named = classes.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = named.groupBy("component").agg(F.min("doc").alias("component_id"))
-    known = named.join(smallest, "component").select("cls", F.col("doc").alias("class_id"), "component_id")
+    known = named.join(smallest, "component").select("cls", F.col("doc").alias("class_id"), "component_id", "component")
     empty = F.col("n_shingles") == 0
     documents = members.join(known, "cls", "left").select(
         "doc_id", "n_shingles", F.when(empty, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-        F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "cls",
+        F.when(empty, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "cls", "component",
     )
     return Joined(documents, links)
 
@@ -431,15 +431,17 @@ def class_key(words: int):
 
 
 def keep_one(docs: DataFrame, scratch: Scratch, rule: Rule = Rule(), id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` without near duplicates: of each component the document with the smallest id stays.
+    """The rows of ``docs`` without near duplicates: of each component one document with the smallest id stays.
 
-    Columns stay as they are. Documents without words stay. Rows that agree in id and shingles stay once; of components
-    without any id, one row of each class stays.
+    Columns stay as they are. Of rows that share that id the one with the smallest class key stays, and of components
+    without any id too. Documents without words stay, those that agree in id once.
     """
     joined = join(docs, scratch, rule, id, text).documents
     name = F.coalesce(F.col(id).cast("string"), F.lit(""))
-    chosen = joined.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "cls")).alias("first")
+    chosen = joined.filter("n_shingles > 0").groupBy("component").agg(first).select("first.doc_id", "first.cls")
+    chosen = chosen.unionByName(joined.filter("n_shingles = 0").select("doc_id", "cls").distinct()).select(
         F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_kept_id"), F.col("cls").alias("_kept_cls")
     )
     named = docs.withColumn("_kept_id", name).withColumn("_kept_cls", class_key(rule.words)(F.col(text)))
-    return named.join(chosen.distinct(), ["_kept_id", "_kept_cls"], "left_semi").dropDuplicates(["_kept_id", "_kept_cls"]).select(*docs.columns)
+    return named.join(chosen, ["_kept_id", "_kept_cls"], "left_semi").dropDuplicates(["_kept_id", "_kept_cls"]).select(*docs.columns)

@@ -260,6 +260,15 @@ def test_jaccard_join_against_brute_force(spark, words, percent, leaf):
     assert kept.columns == frame.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(set(expected.values()))
 
 
+def test_keep_one_keeps_one_row_of_each_component(spark):
+    text = [f"{name}{i}" for name in "abc" for i in range(40)]
+    copy = lambda k, n: " ".join(text[40 * k : 40 * k + 40] + [f"end{n}"])
+    rows = [(None, copy(0, 0)), (None, copy(0, 1)), (None, copy(0, 1)), (7, copy(1, 0)), (7, copy(1, 1)), (8, copy(1, 2)), (None, copy(1, 3)), (None, copy(2, 0)), (3, copy(2, 1)), (3, copy(2, 1)), (9, ""), (9, " "), (10, None)]
+    kept = jaccard.keep_one(docs(spark, [(i, t, None, None) for i, t in rows]).repartition(3), Scratch(spark)).collect()
+    first = lambda r: (r["text"] or " ").split(" ")[0]
+    assert sorted(((r["doc_id"], first(r)) for r in kept), key=str) == sorted([(None, "a0"), (7, "b0"), (3, "c0"), (9, ""), (10, "")], key=str)
+
+
 @pytest.mark.parametrize("percent", [80, 60])
 def test_jaccard_candidates_connect_what_is_linked(spark, percent):
     random.seed(percent)
