@@ -144,14 +144,24 @@ def mix(docs: DataFrame, scratch: Scratch, rule: Mix = Mix(), id: str = "doc_id"
 def apply(docs: DataFrame, scratch: Scratch, rule: Mix = Mix(), id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The mix itself: each row of ``docs`` as often as mix() says, columns as they are.
 
-    Rows that agree in id and size are repeated alike, as often as the one that is taken most.
+    Rows that agree in id, source and size are interchangeable in mix(); together they are repeated as often as it counts.
+    Where it takes one more copy of some of them only, they are numbered, and the first ones get it.
     """
     mixed = mix(docs, scratch, rule, id, text, source)
-    times = (
-        mixed.filter("repeats > 0").groupBy(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_mix_id"), F.col("size").alias("_mix_size"))
-        .agg(F.max("repeats").cast("int").alias("_mix_times"))
+    least = F.min("repeats")
+    times = scratch.save(
+        mixed.groupBy(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"))
+        .agg(least.alias("_mix_times"), (F.sum("repeats") - least * F.count("*")).alias("_mix_more")).filter("_mix_times > 0 or _mix_more > 0"),
+        "mix-times",
     )
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = docs.withColumn("_mix_id", F.coalesce(F.col(id).cast("string"), F.lit(""))).withColumn("_mix_size", size)
-    repeated = sized.join(times, ["_mix_id", "_mix_size"]).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), "_mix_times")))
-    return repeated.select(*docs.columns)
+    same = F.col(id).eqNullSafe(F.col("_mix_id")) & F.col(source).eqNullSafe(F.col("_mix_source")) & (F.col("_mix_words") == F.col("_mix_size"))
+    sized = docs.withColumn("_mix_words", size)
+    repeated = sized.join(times.filter("_mix_more = 0"), same).select(*docs.columns, "_mix_times")
+    uneven = times.filter("_mix_more > 0")
+    if not uneven.isEmpty():  # at most one id of each source and size, and only if it is null or repeated
+        number = F.row_number().over(Window.partitionBy("_mix_id", "_mix_source", "_mix_size").orderBy(F.xxhash64(text)))
+        more = F.when(number <= F.col("_mix_more"), 1).otherwise(0)
+        some = sized.join(uneven, same).withColumn("_mix_times", F.col("_mix_times") + more).filter("_mix_times > 0")
+        repeated = repeated.unionByName(some.select(*docs.columns, "_mix_times"))
+    return repeated.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times").cast("int")))).select(*docs.columns)

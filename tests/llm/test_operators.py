@@ -128,6 +128,24 @@ def test_mix_meets_targets_and_agrees_with_itself(spark):
     assert applied.columns == frame.columns
 
 
+def test_mix_repeats_the_rows_that_it_counts(spark):
+    rows = [(None, "w " * (1 + i % 3), "en", f"s{i % 3}" if i % 4 else None) for i in range(240)]
+    rows += [(i % 5, "w " * (1 + i % 3), "en", f"s{i % 2}") for i in range(200)] + [(None, f"v{i} v", "en", "") for i in range(31)] + [(1, None, "en", "s0")]
+    frame = docs(spark, rows).repartition(5)
+    count = lambda out, times: collections.Counter({k: n for k, n in ((tuple(r[:3]), r[3]) for r in out.groupBy("doc_id", "source", "size").agg(F.sum(times)).collect()) if n})
+    mixed = mixing.mix(frame, Scratch(spark))
+    applied = mixing.apply(frame, Scratch(spark))
+    assert applied.columns == frame.columns
+    words = F.size(F.split(F.trim("text"), " ")).cast("long")
+    assert count(applied.select("doc_id", "source", words.alias("size")), F.lit(1)) == count(mixed, F.col("repeats"))
+    per = {r["source"]: r for r in mixed.groupBy("source").agg(F.first("target").alias("target"), F.max("size").alias("most")).collect()}
+    got = {r["source"]: r["taken"] for r in applied.groupBy("source").agg(F.sum(words).alias("taken")).collect()}
+    assert all(0 <= r["target"] - got.get(k, 0) <= r["most"] for k, r in per.items() if r["target"])
+    times = collections.Counter((r["doc_id"], r["source"], r["text"]) for r in applied.collect())
+    held = collections.Counter((i, s, t) for i, t, _, s in rows)
+    assert all(n <= 2 * held[k] for k, n in times.items())
+
+
 def base(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     places = collections.defaultdict(list)
