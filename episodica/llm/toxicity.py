@@ -8,7 +8,7 @@ once per sentence and swap.
 
 Edge cases: null or empty texts have no words and get the score of the intercept; null labels teach nothing; without
 labels, or with labels of one kind only, all scores are the smoothed share of that label (0.5 without any); labels that
-repeat an id count each, documents that repeat one teach once.
+repeat an id count each, documents that repeat one teach once, labels of other ids than the documents' teach nothing.
 """
 
 from __future__ import annotations
@@ -110,9 +110,11 @@ def solve(x: np.ndarray, y: np.ndarray, weight: np.ndarray, terms: np.ndarray, t
     return w[:d], float(w[d])
 
 
-def _labelled(docs: DataFrame, labels: DataFrame, usable: Column, rule: Fit, id: str, text: str, label: str):
-    """A bounded sample of labelled texts and the number of labels of each kind."""
+def _labelled(docs: DataFrame, labels: DataFrame, scratch: Scratch, usable: Column, rule: Fit, id: str, text: str, label: str):
+    """A bounded sample of labelled texts and the number of labels of each kind, both of labels whose id is in ``docs``."""
     known = labels.filter(usable).select(F.col(id).alias("id"), F.col(label).cast("int").alias("y")).filter("y in (0, 1) and id is not null")
+    there = docs.select(F.col(id).alias("doc")).distinct()
+    known = scratch.save(known.join(there, F.col("id") == F.col("doc"), "left_semi"), "toxicity-labels")
     counts = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}
     order = F.xxhash64(F.lit(rule.seed), "id")
     pick = lambda y: known.filter(F.col("y") == y).orderBy(order, "id").limit(rule.most_per_label)
@@ -157,7 +159,7 @@ def fit(
 
     What reaches the driver is bounded by the rule: the chosen words and, per sampled text, which of them it holds.
     """
-    sample, counts = _labelled(docs, labels, F.lit(True) if usable is None else usable, rule, id, text, label)
+    sample, counts = _labelled(docs, labels, scratch, F.lit(True) if usable is None else usable, rule, id, text, label)
     terms = np.unique(hash_terms(rule.identity), axis=0)
     saved = scratch.save(_words_and_terms(sample, terms[:, 0]), "toxicity-sample")
     seen = {r["y"]: r["n"] for r in saved.groupBy("y").agg(F.count("*").alias("n")).collect()}

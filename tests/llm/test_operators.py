@@ -407,3 +407,15 @@ def test_toxicity_swaps_change_little(spark):
     model = toxicity.fit(frame, known, Scratch(spark))
     assert odd(spark).select(toxicity.score(model)(F.col("text")).alias("s")).filter("s between 0 and 1").count() == 8
     assert len(next(iter(words_of(pa.array(["a-b c"]), NO_LETTER)))[1]) == 3
+
+
+def test_toxicity_samples_labels_of_given_documents(spark):
+    rows = [(i, f"river walks {'idiot' if i % 2 else 'green'} stone", None, None) for i in range(100)]
+    labels = [(i, i % 2) for i in range(100)] + [(i, i % 2) for i in range(1000, 9000)]
+    frame, rule = docs(spark, rows), toxicity.Fit(most_per_label=50)
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    sample, counts = toxicity._labelled(frame, known, Scratch(spark), F.lit(True), rule, "doc_id", "text", "toxic")
+    assert sample.count() == 100 and counts == {0: 50, 1: 50}
+    mild, bad = toxicity.fit(frame, known, Scratch(spark), rule=rule).scores(pa.array(["river walks green stone", "river walks idiot stone"]))
+    assert mild < 0.5 < bad
+    assert toxicity.fit(frame.limit(0), known, Scratch(spark), rule=rule).scores(pa.array(["idiot"])).tolist() == [0.5]
