@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import chat, jaccard, language, mixing, pieces, quality, rollup, topk, toxicity, warc
+from episodica.llm import chat, jaccard, language, merkle, middle, mixing, packing, pieces, quality, rollup, topk, toxicity, warc
 from episodica.llm.common import WORD, id_crc
 from episodica.session import Scratch
 
@@ -195,3 +195,112 @@ def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents that share 85 percent of their 4-word shingles."""
     joined = jaccard.join(table(spark, folder, "documents"), Scratch(spark), jaccard.Rule(words=4, percent=85))
     return joined.documents.select("doc_id", "n_shingles", "component_id", "class_id")
+
+
+@query()
+def op11_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's tokens in sequences of 2,048."""
+    return packing.pack(table(spark, folder, "documents"), Scratch(spark), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query(
+    """
+    WITH drawn AS (
+        SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+            list_transform(range(4), lambda i: ('0x' || substring(sha256('1:' || coalesce(doc_id::VARCHAR, '')), 1 + 8 * i, 8))::BIGINT) AS h
+        FROM documents
+    ), cuts AS (
+        SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+            CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+                 WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+        FROM drawn
+    ), parts AS (
+        SELECT *, substring(t, 1, a) AS prefix, substring(t, a + 1, b - a) AS middle, substring(t, b + 1) AS suffix FROM cuts
+    )
+    SELECT doc_id, n::BIGINT AS n, form, (CASE WHEN form <> 'plain' THEN a END)::BIGINT AS prefix_chars,
+        (CASE WHEN form <> 'plain' THEN b - a END)::BIGINT AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+        sha256(t) AS restored_sha256
+    FROM parts
+    """
+)
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its middle moved to the end, and read back."""
+    cut = middle.transform(table(spark, folder, "documents"))
+    restored = middle.restore(F.col("output"), F.col("form"))
+    return cut.select(
+        "doc_id", "n", "form",
+        F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(restored.cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
+def framed(value: str) -> str:
+    return f"coalesce(strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR, '-')"
+
+
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query(
+    f"""
+    WITH RECURSIVE named AS (
+        SELECT *, doc_id::VARCHAR AS name, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS place,
+            count(*) OVER (PARTITION BY lang) AS size, row_number() OVER () AS nr
+        FROM documents
+    ), crc AS (  -- one bit a step
+        SELECT nr, name, 0 AS i, 4294967295 AS c FROM named WHERE name IS NOT NULL
+        UNION ALL
+        SELECT nr, name, i + 1, CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END
+        FROM (SELECT nr, name, i, CASE WHEN i % 8 = 0 THEN xor(c, ascii(substring(name, i // 8 + 1, 1))) ELSE c END AS x FROM crc WHERE i < 8 * length(name))
+    ), tampered AS (
+        SELECT nr FROM crc WHERE i = 8 * length(name) AND xor(c, 4294967295) % 7 = 0
+    ), leaves AS (
+        SELECT nr, doc_id, lang, place, size, sha256(concat({", ".join(framed(c) for c in LEAF)})) AS leaf,
+            sha256(concat({", ".join(framed("(n_chars + 1)" if c == "n_chars" else c) for c in LEAF)})) AS changed
+        FROM named
+    ), tree AS (
+        SELECT lang, 0 AS level, place, size, leaf AS digest FROM leaves
+        UNION ALL
+        SELECT lang, level + 1, place // 2, (size + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+        FROM tree WHERE size > 1 GROUP BY lang, level, place // 2, size
+    ), subroots AS (
+        SELECT lang, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS size,
+            level AS height
+        FROM tree WHERE size = 1
+    ), crown AS (
+        SELECT 0 AS level, place, size, digest FROM subroots
+        UNION ALL
+        SELECT level + 1, place // 2, (size + 1) // 2, sha256(string_agg(digest, '' ORDER BY place))
+        FROM crown WHERE size > 1 GROUP BY level, place // 2, size
+    ), walk AS (  -- the levels over every leaf, through its subroot to below the root
+        SELECT l.nr, t.level, t.place AS other, t.digest, t.place > (l.place >> t.level) AS is_right
+        FROM leaves l JOIN tree t ON t.lang IS NOT DISTINCT FROM l.lang AND t.size > 1 AND t.place = xor(l.place >> t.level, 1)
+        UNION ALL
+        SELECT l.nr, s.height + c.level, c.place, c.digest, c.place > (s.place >> c.level)
+        FROM leaves l JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang
+        JOIN crown c ON c.size > 1 AND c.place = xor(s.place >> c.level, 1)
+    ), heights AS (
+        SELECT lang, digest AS subroot, height + (SELECT max(level) FROM crown) AS height FROM subroots
+    ), proofs AS (
+        SELECT nr, sha256(string_agg(digest, '' ORDER BY level)) AS proof FROM walk GROUP BY nr
+    ), folds AS (
+        SELECT l.nr, 0 AS level, h.height, CASE WHEN t.nr IS NOT NULL THEN changed ELSE leaf END AS digest
+        FROM leaves l LEFT JOIN tampered t ON t.nr = l.nr JOIN heights h ON h.lang IS NOT DISTINCT FROM l.lang
+        UNION ALL
+        SELECT f.nr, f.level + 1, f.height, sha256(CASE WHEN w.is_right THEN f.digest || w.digest ELSE coalesce(w.digest, '') || f.digest END)
+        FROM folds f LEFT JOIN walk w ON w.nr = f.nr AND w.level = f.level WHERE f.level < f.height
+    )
+    SELECT doc_id, leaf, subroot, (SELECT digest FROM crown WHERE size = 1) AS root, coalesce(proof, sha256('')) AS proof_sha256,
+        f.digest AS folded_root, f.digest = (SELECT digest FROM crown WHERE size = 1) AS verified
+    FROM leaves l JOIN heights h ON h.lang IS NOT DISTINCT FROM l.lang JOIN folds f ON f.nr = l.nr AND f.level = f.height
+    LEFT JOIN proofs p ON p.nr = l.nr
+    """
+)
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether the row that a verifier sees leads to the root."""
+    tampered = (F.coalesce(id_crc("doc_id") % 7 == 0, F.lit(False)), {"n_chars": F.col("n_chars") + 1})
+    found = merkle.manifest(table(spark, folder, "documents"), Scratch(spark), LEAF, shown=tampered)
+    return found.withColumnRenamed("id", "doc_id")

@@ -1,0 +1,99 @@
+"""Fill-in-the-middle against plain slicing, and the boundary set against a list."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from episodica.llm import middle
+
+DOCS = "doc_id long, text string, form string, h1 string, n string, output string"
+
+
+def expected(doc, text):
+    text = text or ""
+    hex = hashlib.sha256(f"1:{'' if doc is None else doc}".encode()).hexdigest()
+    h = [int(hex[8 * i : 8 * i + 8], 16) for i in range(4)]
+    n = len(text)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 90:
+        return doc, n, "plain", None, None, text
+    a, b = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, mid, suffix = text[:a], text[a:b], text[b:]
+    if h[3] % 100 < 20:
+        return doc, n, "spm", a, b - a, f"<S>{suffix}<P>{prefix}<M>{mid}"
+    return doc, n, "psm", a, b - a, f"<P>{prefix}<S>{suffix}<M>{mid}"
+
+
+def test_equals_plain_slicing_and_reads_back(spark):
+    rng = random.Random(1)
+    alphabet = "ab \né漢😀<>PSM|"
+    docs = [(i, "".join(rng.choice(alphabet) for _ in range(rng.randrange(90)))) for i in range(800)]
+    docs += [(1000, None), (1001, ""), (None, "no id"), (None, None), (7, "twice"), (7, "twice"), (1002, "has <M> inside"), (1003, "<"), (1004, "a<P"), (-5, "minus")]
+    docs += [(2000, "x" * 300_000), (2001, "é" * 200_000 + "x" * 70_000), (2002, "aé" * 100_000), (2003, "😀\n" * 50_000)]
+    table = spark.createDataFrame([(*d, "x", "y", "z", "w") for d in docs], DOCS)
+    got = middle.transform(table).withColumn("back", middle.restore(F.col("output"), F.col("form"))).collect()
+    key = lambda r: tuple((x is None, x or 0) for x in r[:1]) + tuple(map(str, r[1:]))
+    rows = [(r.doc_id, r.n, r.form, r.prefix_units, r.middle_units, r.output) for r in got]
+    assert sorted(rows, key=key) == sorted((expected(*d) for d in docs), key=key)
+    assert {"plain", "psm", "spm"} == {r.form for r in got}
+    texts = sorted(t or "" for _, t in docs)
+    assert sorted(r.back for r in got) == texts
+
+
+def test_empty_table(spark):
+    assert middle.transform(spark.createDataFrame([], DOCS)).collect() == []
+
+
+def kinds(boundaries):
+    return {type(c).__name__ for c in boundaries.containers}
+
+
+@pytest.mark.parametrize(
+    ("text", "unit", "kind"),
+    [
+        ("plain ascii " * 20_000, "characters", "Runs"),
+        ("aé" * 90_000, "characters", "Bitmap"),
+        ("漢" * 1000, "characters", "Array"),
+        ("one word and another\n" * 9_000, "words", "Bitmap"),
+        ("a long line " * 300 + "\n" + "short\n" * 900, "lines", "Array"),
+        ("x" * 200_000 + " y" * 3, "words", "Array"),
+    ],
+)
+def test_every_container_selects_what_a_list_does(text, unit, kind):
+    data = text.encode()
+    if unit == "characters":
+        starts = [i for i, b in enumerate(data) if b & 0xC0 != 0x80]
+    elif unit == "lines":
+        starts = [0] + [i + 1 for i, b in enumerate(data[:-1]) if b == 10]
+    else:
+        gap = b" \t\n\x0b\x0c\r"
+        starts = [0] + [i for i in range(1, len(data)) if data[i] not in gap and data[i - 1] in gap]
+    found = middle.Boundaries(np.frombuffer(data, np.uint8), unit)
+    assert kind in kinds(found) and found.units == len(starts)
+    rng = random.Random(2)
+    for k in {0, len(starts) - 1, *(rng.randrange(len(starts)) for _ in range(2000))}:
+        assert found.select(k) == starts[k]
+    assert found.select(len(starts)) == len(data)
+
+
+def test_containers_on_random_sets():
+    rng = np.random.default_rng(3)
+    seen = set()
+    for size in (1, 2, 50, 4096, 4097, 20_000, 65_536):
+        for offsets in (np.sort(rng.choice(65_536, size, replace=False)), np.arange(size)):
+            found = middle.container(offsets)
+            seen.add(type(found).__name__)
+            for k in {0, size - 1, *rng.integers(0, size, 300).tolist()}:
+                assert found.select(int(k)) == offsets[k]
+    assert seen == {"Array", "Bitmap", "Runs"}
+
+
+def test_words_as_units(spark):
+    rows = spark.createDataFrame([(i, "one two  three\nfour " * i) for i in range(40)], "doc_id long, text string")
+    got = middle.transform(rows, middle.Draw(plain_percent=0, unit="words")).withColumn("back", middle.restore(F.col("output"), F.col("form"))).collect()
+    for r in got:
+        assert r.n == 4 * r.doc_id and r.back == "one two  three\nfour " * r.doc_id
+        if r.form == "psm":
+            assert len(r.output[3:].split("<S>")[0].split()) == r.prefix_units
