@@ -52,7 +52,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _BASE = 0x9E3779B97F4A7C15
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
+BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))
 _UP = _powers(_BASE, PIECE + 1)
 _DOWN = _powers(pow(_BASE, -1, 1 << 64), PIECE + 1)
 
@@ -63,7 +63,7 @@ IS_GAP = (_ascii == 32) | ((_ascii >= 9) & (_ascii <= 13))
 NO_LETTER = (_ascii < 128) & ~(((_ascii | 32) >= 97) & ((_ascii | 32) <= 122))
 
 
-def _hash_words(data: np.ndarray, edge: np.ndarray, gap: np.ndarray, values: np.ndarray, prefixes: tuple[int, ...]):
+def hash_words(data: np.ndarray, edge: np.ndarray, gap: np.ndarray, values: np.ndarray, prefixes: tuple[int, ...]):
     """Hashes and first bytes of the words of up to PIECE bytes; ``edge`` marks bytes where a new text begins."""
     word = ~gap[data]
     start = word.copy()
@@ -93,7 +93,7 @@ def words_of(
     that are cut between words; a word of any length has one hash. With ``prefixes``, each word is followed by the hash of
     its first bytes, for each of these lengths.
     """
-    values = _BYTE[LOWER] if lower else _BYTE
+    values = BYTE[LOWER] if lower else BYTE
     column = column.cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], np.int64, len(column) + 1, column.offset * 8)
     raw = column.buffers()[2]
@@ -108,7 +108,7 @@ def words_of(
             edge = np.zeros(len(part) + 1, bool)
             edge[offsets[row:end] - begin] = True
             if len(part):
-                hashes, starts = _hash_words(part, edge[:-1], gap, values, prefixes)
+                hashes, starts = hash_words(part, edge[:-1], gap, values, prefixes)
                 counts = np.diff(np.searchsorted(starts, offsets[row : end + 1] - begin))
             else:
                 hashes, counts = np.zeros(0, np.uint64), np.zeros(end - row, np.int64)
@@ -134,7 +134,7 @@ def _long(text: np.ndarray, gap: np.ndarray, values: np.ndarray, prefixes: tuple
                 continue
             end = at + int(gaps[-1]) + 1
         part = text[at:end]
-        found.append(_hash_words(part, np.zeros(len(part), bool), gap, values, prefixes)[0])
+        found.append(hash_words(part, np.zeros(len(part), bool), gap, values, prefixes)[0])
         at = end
     return np.concatenate(found)
 

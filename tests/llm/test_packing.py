@@ -58,8 +58,9 @@ def test_words_encode_as_whole_texts_do(tokenizer):
     texts = ["", "  ", "<|endoftext|> a<|startoftext|>b", "x" * 5000, "\x1d \x1c a", "é ́e"]
     texts += ["".join(rng.choice(alphabet) for _ in range(rng.randrange(80))) for _ in range(3000)]
     encoder = packing.Encoder(PATH)
-    for text, got in zip(texts, encoder.encode_all(iter(texts))):
-        assert np.frombuffer(got, "<u4").tolist() == ids_of(tokenizer, text)[:-1], repr(text)
+    texts += ["J\u030c j\u030c J\u030c a=\u0338b A\u030a! ,e\u0301", "Don't 'sun 5's x's!'s", "x\u00a0Y\u2028z", "it,was.NOT 12ab,34"]
+    for text, got in zip(texts, encoder.encode_all(t.encode() for t in texts)):
+        assert got.tolist() == ids_of(tokenizer, text)[:-1], repr(text)
 
 
 def test_slices_and_forgetting_change_nothing(tokenizer, monkeypatch):
@@ -67,9 +68,17 @@ def test_slices_and_forgetting_change_nothing(tokenizer, monkeypatch):
     text = " ".join("".join(rng.choice("abcdé1") for _ in range(rng.randrange(1, 90))) for _ in range(3000)) + "  \n" + "y" * 3000
     expected = ids_of(tokenizer, text)[:-1]
     monkeypatch.setattr(packing, "SLICE", 500)
-    monkeypatch.setattr(packing, "WORDS", 50)
-    got = list(packing.Encoder(PATH).encode_all(iter(["", text, "a"])))
-    assert np.frombuffer(got[1], "<u4").tolist() == expected and not got[0] and got[2]
+    monkeypatch.setattr(packing, "UNITS", 50)
+    monkeypatch.setattr(packing, "PIECE", 300)
+    got = list(packing.Encoder(PATH).encode_all(iter([b"", text.encode(), b"a", b"", b"a b"])))
+    assert got[1].tolist() == expected and [len(g) for g in got[2:]] == [1, 0, 2] and not len(got[0])
+    assert b"".join(packing._slices(text.encode())) == text.encode()
+
+
+def test_texts_as_long_as_a_run(tokenizer):
+    texts = ["a " * (packing.PIECE // 2), "", "é" * (packing.PIECE // 2), "", "b" * (packing.PIECE + 1), "c d" * 200_000, "e", ""]
+    for text, got in zip(texts, packing.Encoder(PATH).encode_all(t.encode() for t in texts)):
+        assert got.tolist() == ids_of(tokenizer, text)[:-1]
 
 
 def fewest(sizes, room):
