@@ -23,9 +23,9 @@ def lookup(
 def with_child(parent: DataFrame, children: DataFrame, parent_key: str, child_key: str) -> DataFrame:
     """Parents that have at least one child row, each once.
 
-    Children are reduced to distinct keys before the shuffle, so a parent with very many children costs one row per
-    map task. On distinct keys an inner join keeps the same rows as a semi-join; a semi-join would be pushed below the
-    parent's dimension joins, and the parent would shuffle before they filter it.
+    The parents' own filters (a lookback, dimensions) come first: they meet the children as they are, and equal rows are
+    merged after that, in the join's own partitions. A small parent is broadcast, so the children are not shuffled at
+    all; a parent with very many children is split by AQE and its rows are merged before and after a second shuffle.
     """
-    keys = children.selectExpr(f"`{child_key}` AS _key").distinct()
-    return parent.join(keys, F.expr(f"`{parent_key}` = _key"), "inner").drop("_key")
+    keys = children.selectExpr(f"`{child_key}` AS _key")
+    return parent.join(keys, F.expr(f"`{parent_key}` = _key"), "inner").drop("_key").distinct()

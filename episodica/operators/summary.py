@@ -12,19 +12,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from episodica.operators.ordering import chosen, chosen_row, with_order_key
 
-def earliest(order: str, tie: str, value: str, where: str) -> Column:
-    """Aggregate: struct(unknown, order, tie, value) of the first row in (order, tie) that meets ``where``.
 
-    NULL orders sort last. NULL when no row meets it. Mergeable by ``min``.
+def earliest(rows: DataFrame, key: str, order: str, value: str, where: str) -> Column:
+    """Aggregate: struct(key, order, value) of the row of ``rows`` with the lowest ``key`` (``with_order_key``) that meets ``where``.
+
+    NULL orders come last. Its fields are NULL when no row meets it. ``value`` is an expression of fixed width (another
+    one makes Spark sort the rows). Results merge by ``earliest_again``.
     """
-    row = f"named_struct('unknown', `{order}` IS NULL, 'order', `{order}`, 'tie', `{tie}`, 'value', {value})"
-    return F.expr(f"min(CASE WHEN {where} THEN {row} END)")
+    return chosen_row(rows, "min", key, where, {"order": f"`{order}`", "value": value})
+
+
+def earliest_again(name: str) -> Column:
+    """Aggregate over ``earliest`` results in column ``name``."""
+    return chosen("min", f"`{name}`.key", {c: f"`{name}`.`{c}`" for c in ("order", "value")})
 
 
-def attach(rows: DataFrame, by: Sequence[str], measures: dict[str, Column]) -> DataFrame:
-    """Every row with the aggregates of its entity: what ``agg(...) OVER (PARTITION BY by)`` returns."""
-    summary = rows.groupBy(*by).agg(*[m.alias(name) for name, m in measures.items()])
+def attach(
+    rows: DataFrame, by: Sequence[str], measures: dict[str, Column], measured: DataFrame | None = None
+) -> DataFrame:
+    """Every row with the aggregates of its entity: what ``agg(...) OVER (PARTITION BY by)`` returns.
+
+    ``measured`` are the rows to aggregate, where they need columns that the result doesn't.
+    """
+    summary = (rows if measured is None else measured).groupBy(*by).agg(*[m.alias(name) for name, m in measures.items()])
     renamed = summary.selectExpr(*[f"`{k}` AS `_by_{k}`" for k in by], *[f"`{m}`" for m in measures])
     same = " AND ".join(f"`{k}` <=> `_by_{k}`" for k in by)
     return rows.join(renamed, F.expr(same), "inner").drop(*[f"_by_{k}" for k in by])
@@ -39,8 +51,9 @@ def attach_first_so_far(
     qualifying row of the whole entity is the first of any frame that reaches it, so one aggregate and a comparison
     replace the running window.
     """
-    firsts = {f"_first_{out}": earliest(order, tie, v, cond) for out, (v, cond) in values.items()}
-    found = attach(rows, by, firsts)
+    keyed = with_order_key(rows, order, tie)
+    firsts = {f"_first_{out}": earliest(keyed, "_order_key", order, v, cond) for out, (v, cond) in values.items()}
+    found = attach(rows, by, firsts, keyed)
     reached = {
         out: F.expr(f"CASE WHEN `{order}` IS NULL OR `{order}` >= _first_{out}.order THEN _first_{out}.value END")
         for out in values

@@ -12,7 +12,7 @@ import datetime
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from episodica import operators as ops
@@ -436,8 +436,9 @@ SELECT person_name, birth_key, o_orderkey, o_custkey, seen, o_totalprice, o_orde
     SELECT *, row_number() OVER (PARTITION BY person_name, birth_key ORDER BY seen DESC, o_orderkey DESC) AS r
     FROM {SQL_ATTENDED} a) b WHERE r = 1""")
 def top1_per_entity(t):
-    keep = ["o_orderkey", "o_custkey", "seen", "o_totalprice", "o_orderpriority"]
-    return ops.latest_by(attended(t), PERSON, "seen", "o_orderkey", keep)
+    # The text comes from the row that was found; only numbers and dates take part in the aggregate.
+    latest = ops.latest_by(attended(t), PERSON, "seen", "o_orderkey", ["o_orderkey", "o_custkey", "seen", "o_totalprice"])
+    return ops.lookup(latest, t["orders"], "o_orderkey", "o_orderkey", {"o_orderpriority": "o_orderpriority"}, "inner")
 
 
 @query(f"""
@@ -465,14 +466,11 @@ LEFT JOIN {SQL_ATTENDANCES} l ON l.o_orderkey = (
 def latest_per_entity(t):
     untimed = (F.col("o_orderstatus") == "P") & (F.col("o_orderpriority") == "1-URGENT")
     rows = attendances(t).select(
-        "o_custkey",
-        F.col("o_orderkey").alias("latest_order"),
-        F.when(~untimed, F.col("seen")).alias("latest_seen"),
-        "o_orderpriority",
-    )
-    latest = ops.latest_by(
-        rows, ["o_custkey"], "latest_seen", "latest_order", ["latest_order", "latest_seen", "o_orderpriority"]
+        "o_custkey", F.col("o_orderkey").alias("latest_order"), F.when(~untimed, F.col("seen")).alias("latest_seen")
     )
+    latest = ops.latest_by(rows, ["o_custkey"], "latest_seen", "latest_order", ["latest_order", "latest_seen"])
+    named = {"o_orderpriority": "o_orderpriority"}
+    latest = ops.lookup(latest, t["orders"], "latest_order", "o_orderkey", named, "inner")
     customers = t["customer"].select("c_custkey")
     return customers.join(latest, F.col("c_custkey") == F.col("o_custkey"), "left").drop("o_custkey")
 
@@ -483,11 +481,14 @@ LEFT JOIN orders l ON l.o_orderkey = (
     SELECT o.o_orderkey FROM lineitem JOIN orders o ON o.o_orderkey = l_orderkey WHERE l_partkey = p.p_partkey
     ORDER BY o.o_orderdate DESC, o.o_orderkey DESC LIMIT 1)""")
 def latest_via_bridge(t):
+    # Keys are made once per order, before the bridge repeats it; the rest of the row is looked up for the winners.
+    keyed = ops.with_order_key(t["orders"].select("o_orderkey", "o_orderdate"), "o_orderdate", "o_orderkey")
     bridge = t["lineitem"].select("l_partkey", "l_orderkey")
-    columns = {"latest_order": "o_orderkey", "latest_seen": "o_orderdate", "o_custkey": "o_custkey"}
-    linked = ops.lookup(bridge, t["orders"], "l_orderkey", "o_orderkey", columns, "inner")
-    keep = ["latest_order", "latest_seen", "o_custkey"]
-    latest = ops.latest_by(linked, ["l_partkey"], "latest_seen", "latest_order", keep)
+    linked = ops.lookup(bridge, keyed, "l_orderkey", "o_orderkey", {c: c for c in keyed.columns}, "inner")
+    best = linked.groupBy("l_partkey").agg(ops.best_of(linked, "_order_key", ["o_orderkey"]).alias("best"))
+    latest = best.selectExpr("l_partkey", "best.o_orderkey AS latest_order")
+    columns = {"latest_seen": "o_orderdate", "o_custkey": "o_custkey"}
+    latest = ops.lookup(latest, t["orders"], "latest_order", "o_orderkey", columns, "inner")
     parts = t["part"].select("p_partkey").join(latest, F.col("p_partkey") == F.col("l_partkey"), "left")
     return parts.withColumn("latest_seen", F.col("latest_seen").cast("date")).drop("l_partkey")
 
@@ -516,25 +517,24 @@ def responsible_lookup(t):
         "visit": "o_orderpriority = '1-URGENT'",
         "attendance": "true",
     }
-    keep = ["o_orderkey", "o_custkey", "seen", "o_orderstatus", "o_orderpriority"]
-    per_id = {kind: ops.best_of("seen", "o_orderkey", keep, where) for kind, where in kinds.items()}
-    merged = {kind: F.max(kind) for kind in kinds}
-    latest = ops.merge_ids(attendances(t), "o_custkey", ids, "c_custkey", PERSON, per_id, merged)
+    keep = ["o_orderkey", "o_custkey", "seen"]
+    rows = ops.with_order_key(attendances(t), "seen", "o_orderkey")
+    per_id = {kind: ops.best_of(rows, "_order_key", keep, where) for kind, where in kinds.items()}
+    merged = {kind: ops.best_again(kind, keep) for kind in kinds}
+    latest = ops.merge_ids(rows, "o_custkey", ids, "c_custkey", PERSON, per_id, merged)
     latest = latest.select(
         *PERSON,
+        F.col("registration.o_orderkey").alias("registered"),
         (F.col("registration.o_custkey") % 26).alias("registration_unit"),
         (F.col("attendance.o_custkey") % 25).alias("attendance_unit"),
         (F.col("registration.o_orderkey") % 12).alias("registration_worker"),
         (F.col("visit.o_orderkey") % 15).alias("visit_worker"),
         F.col("visit.seen").alias("last_visit"),
-        known(
-            join_text(
-                known(F.col("registration.o_orderstatus"), "P"),
-                known(F.col("registration.o_orderpriority"), "5-LOW"),
-            ),
-            ", ",
-        ).alias("address"),
     )
+    texts = {"status": "o_orderstatus", "priority": "o_orderpriority"}
+    latest = ops.lookup(latest, t["orders"], "registered", "o_orderkey", texts)
+    address = known(join_text(known(F.col("status"), "P"), known(F.col("priority"), "5-LOW")), ", ")
+    latest = latest.withColumn("address", address)
     for kind in ("registration", "attendance"):
         latest = ops.lookup(latest, t["nation"], f"{kind}_unit", "n_nationkey", {f"{kind}_unit_name": "n_name"})
     for kind in ("registration", "visit"):
@@ -554,12 +554,22 @@ def responsible_lookup(t):
 # ---------------------------------------------------------------- interval flags
 
 
-def persons_in_episode(t: Tables) -> DataFrame:
-    """One case per person: first order date as start, 294 days later as due date."""
-    firsts = {"case_id": F.max("o_orderkey"), "start": F.min("seen")}
-    merged = {"case_id": F.max("case_id"), "start": F.min("start")}
-    cases = ops.merge_ids(attendances(t), "o_custkey", people(t), "c_custkey", PERSON, firsts, merged)
-    return cases.withColumn("due", RULE.due(F.col("start")))
+def contacts(t: Tables, lines: DataFrame, bits: Column) -> DataFrame:
+    """Every order, repeated for each day on which line items of it were shipped that set a bit: the day and its bits.
+
+    Line items shrink to one row per order and day before they meet the orders, which are read once, for the start of the
+    episode and for the events.
+    """
+    events = (
+        lines.select("l_orderkey", F.col("l_shipdate").cast("date").alias("day"), bits.alias("bits"))
+        .where("bits <> 0").groupBy("l_orderkey", "day").agg(F.bit_or("bits").alias("bits"))
+    )
+    orders = t["orders"].select("o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("start"))
+    return orders.join(events, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
+
+
+def due() -> Column:
+    return RULE.due(F.col("start"))
 
 
 SQL_PERSONS = f"""(SELECT person_name, birth_key, max(o_orderkey) AS case_id, min(seen) AS start,
@@ -574,35 +584,21 @@ SELECT person_name, birth_key, start, due, (SELECT count(*) > 0 FROM lineitem JO
       AND l_returnflag = 'R' AND p_brand LIKE 'Brand#25%' AND l_shipdate >= p.start AND l_shipdate <= p.due) AS seen_in
 FROM {SQL_PERSONS} p""")
 def flag_interval_exists(t):
-    cases = persons_in_episode(t)
     parts = t["part"].where(starts_with_any(F.col("p_brand"), ["Brand#25"]))
     lines = t["lineitem"].where("l_returnflag = 'R'").select("l_orderkey", "l_partkey", "l_shipdate")
     lines = ops.lookup(lines, parts, "l_partkey", "p_partkey", {}, "inner")
-    lines = ops.lookup(lines, t["orders"], "l_orderkey", "o_orderkey", {"o_custkey": "o_custkey"}, "inner")
-    events = lines.select("o_custkey", F.col("l_shipdate").cast("date").alias("day"), F.lit("seen_in").alias("flag"))
-    members = ops.members_of(people(t), "c_custkey", PERSON, cases, ["case_id", "start", "due"])
-    flags = ops.flags_of_ids(events, "o_custkey", members, "c_custkey", "case_id", "start", "due", ["seen_in"])
-    found = cases.join(flags, "case_id", "left").drop("case_id")
-    return found.withColumn("seen_in", F.coalesce("seen_in", F.lit(False)))
-
-
-def customers_in_episode(t: Tables) -> DataFrame:
-    """One case per customer id: first order date as start, 294 days later as due date."""
-    cases = attendances(t).groupBy("o_custkey").agg(F.min("seen").alias("start"))
-    return cases.withColumn("due", RULE.due(F.col("start")))
+    rows = contacts(t, lines, F.lit(1))
+    rows = ops.lookup(rows, people(t), "o_custkey", "c_custkey", {c: c for c in PERSON}, "inner")
+    # Rows without a name form one case, but match no events.
+    named = F.col("person_name").isNotNull() & F.col("birth_key").isNotNull()
+    rows = rows.withColumns({c: F.when(named, F.col(c)) for c in ("day", "bits")})
+    return ops.flags_in_one_pass(rows, PERSON, {"start": "min"}, due(), "start", ["seen_in"])
 
 
 SQL_CUSTOMERS = f"""(SELECT o_custkey, min(seen) AS start, min(seen) + INTERVAL 294 DAY AS due
     FROM {SQL_ATTENDANCES} a GROUP BY 1)"""
 
 
-def shipped(t: Tables, lines: DataFrame, flag: str) -> DataFrame:
-    """Line items as events of their customer."""
-    lines = lines.select("l_orderkey", F.col("l_shipdate").cast("date").alias("day"), F.lit(flag).alias("flag"))
-    lines = ops.lookup(lines, t["orders"], "l_orderkey", "o_orderkey", {"o_custkey": "o_custkey"}, "inner")
-    return lines.drop("l_orderkey")
-
-
 @query(f"""
 SELECT o_custkey, start, due, (SELECT count(*) > 0 FROM (
     SELECT l_orderkey FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders o ON o.o_orderkey = l_orderkey
@@ -612,14 +608,15 @@ SELECT o_custkey, start, due, (SELECT count(*) > 0 FROM (
     WHERE o.o_custkey = c.o_custkey AND l_returnflag = 'A' AND s_nationkey = 3 AND l_shipdate BETWEEN c.start AND c.due
     ) u) AS tested FROM {SQL_CUSTOMERS} c""")
 def flag_union_branches(t):
-    lines = t["lineitem"]
-    promo, near = t["part"].where("p_type = 'PROMO'"), t["supplier"].where("s_nationkey = 3")
-    returned = ops.lookup(lines.where("l_returnflag = 'R'"), promo, "l_partkey", "p_partkey", {}, "inner")
-    accepted = ops.lookup(lines.where("l_returnflag = 'A'"), near, "l_suppkey", "s_suppkey", {}, "inner")
-    both = returned.select("l_orderkey", "l_shipdate").unionByName(accepted.select("l_orderkey", "l_shipdate"))
-    return ops.with_flags(
-        customers_in_episode(t), shipped(t, both, "tested"), "o_custkey", "start", "due", ["tested"]
-    )
+    # The branches of the union are conditions on one pass over the line items.
+    lines = t["lineitem"].where("l_returnflag IN ('R', 'A')")
+    promo = t["part"].where("p_type = 'PROMO'").withColumn("hit", F.lit(True))
+    near = t["supplier"].where("s_nationkey = 3").withColumn("hit", F.lit(True))
+    lines = ops.lookup(lines, promo, "l_partkey", "p_partkey", {"promo": "hit"})
+    lines = ops.lookup(lines, near, "l_suppkey", "s_suppkey", {"near": "hit"})
+    tested = F.expr("(l_returnflag = 'R' AND promo) OR (l_returnflag = 'A' AND near)")
+    rows = contacts(t, lines, ops.flag_bits({"tested": tested}))
+    return ops.flags_in_one_pass(rows, ["o_custkey"], {"start": "min"}, due(), "start", ["tested"])
 
 
 def sql_recorded(brands: list[str], nations: list[int]) -> str:
@@ -631,10 +628,16 @@ def sql_recorded(brands: list[str], nations: list[int]) -> str:
 SELECT o_custkey, start, due, {sql_recorded(['Brand#3'], [2])} AS loss, {sql_recorded(['Brand#14', 'Brand#9'], [7])}
     AS birth FROM {SQL_CUSTOMERS} c""")
 def flag_or_codes(t):
-    loss = shipped(t, listed_lines(t, ["Brand#3"], [2]), "loss")
-    birth = shipped(t, listed_lines(t, ["Brand#14", "Brand#9"], [7]), "birth")
-    events = loss.unionByName(birth)
-    return ops.with_flags(customers_in_episode(t), events, "o_custkey", "start", "due", ["loss", "birth"])
+    listed = {"loss": (["Brand#3"], [2]), "birth": (["Brand#14", "Brand#9"], [7])}
+    by_part = {flag: in_codes("p_brand", brands) for flag, (brands, _) in listed.items()}
+    by_supplier = {flag: F.col("s_nationkey").isin(nations) for flag, (_, nations) in listed.items()}
+    parts = t["part"].withColumn("bits", ops.flag_bits(by_part)).where("bits <> 0")
+    suppliers = t["supplier"].withColumn("bits", ops.flag_bits(by_supplier)).where("bits <> 0")
+    lines = ops.lookup(t["lineitem"], parts, "l_partkey", "p_partkey", {"by_part": "bits"})
+    lines = ops.lookup(lines, suppliers, "l_suppkey", "s_suppkey", {"by_supplier": "bits"})
+    either = F.coalesce("by_part", F.lit(0)).bitwiseOR(F.coalesce("by_supplier", F.lit(0)))
+    rows = contacts(t, lines, either)
+    return ops.flags_in_one_pass(rows, ["o_custkey"], {"start": "min"}, due(), "start", list(listed))
 
 
 # ---------------------------------------------------------------- sink and end to end

@@ -2,8 +2,10 @@
 
 Three stages, each a few shuffles on its own key:
 
+0. problems - the problem rows with a listed code, one bit per list; written, so the problem table is read once.
 1. cohort   - qualifying attendances, summarised per citizen id, then per person (name and birth date); written.
-2. members  - all citizen ids of the cohort's persons (same name and birth key); written, date range read back.
+2. members  - all citizen ids of the cohort's persons (same name and birth key); written, the days of their episodes read
+              back. Facts of other ids are dropped at their scans by a Bloom filter of bounded size, other days by ranges.
 3. worklist - latest records and event flags of the members, one row per case, joined to the cohort.
 
 Only the latest attendance of a person survives, so the running windows over a person's attendances end as aggregates of
@@ -32,25 +34,39 @@ from episodica.functions import (
     yes_no,
 )
 from episodica.operators import (
+    IdFilter,
+    best_again,
     best_of,
     earliest,
+    earliest_again,
+    flag_bits,
     flags_of_ids,
+    in_ranges,
+    key_ranges,
     lookup,
     members_of,
     merge_ids,
     with_child,
+    with_order_key,
 )
 from episodica.session import Scratch
 from episodica.sources import code_sets as codes
 from episodica.sources.loader import Tables
 
 FLAGS = ["dental", "hiv", "syphilis", "loss", "birth"]
+# What the latest record of each kind gives; texts are looked up by the record's key.
 RECORDS = {
-    "home": ["street", "number"],
+    "home": ["record_id"],
     "visit": ["professional", "time_key"],
     "registration": ["team", "unit", "professional"],
     "attendance": ["team", "unit"],
 }
+# Code lists by their bit in the tagged problem rows: (CIAP codes, CID codes).
+PROBLEMS = {
+    "cohort": (codes.COHORT_CIAP, codes.COHORT_CID),
+    "loss": (codes.LOSS_CIAP, codes.LOSS_CID),
+    "birth": (codes.BIRTH_CIAP, codes.BIRTH_CID),
+}
 
 
 @dataclass(frozen=True)
@@ -66,57 +82,63 @@ class Rule:
         return F.lit(self.as_of)
 
 
-def in_key_range(days: DataFrame) -> Column:
-    """Filter on a fact's ``co_dim_tempo``: inside the lowest and highest key of these days.
+def on_days(days: DataFrame) -> Column:
+    """Filter on a fact's ``co_dim_tempo``: the ranges of keys that these days of the time dimension form.
 
-    Two literals, so scans can skip partitions and row groups by it; the inner join to the days decides.
+    Literals, so scans can skip partitions and row groups by them; a lone day far away adds a range of its own and
+    widens none. The driver gets one key per day of the calendar at most; the inner join to the days decides.
     """
-    lowest, highest = days.agg(F.min("co_seq_dim_tempo"), F.max("co_seq_dim_tempo")).first()
-    return F.col("co_dim_tempo").between(F.lit(lowest), F.lit(highest))
+    keys = days.select("co_seq_dim_tempo").distinct().toArrow()
+    return in_ranges("co_dim_tempo", key_ranges(keys.column(0).drop_null().to_pylist()))
+
 
+def tagged_problems(t: Tables) -> DataFrame:
+    """(attendance_id, bits) of the problem rows whose CIAP or CID code is in a list; one bit per list of PROBLEMS.
 
-def problem_groups(t: Tables, groups: dict[str, tuple[list[str], list[str]]]) -> DataFrame:
-    """(attendance_id, group) for problem rows whose CIAP or CID code is listed for the group."""
+    One pass over the problem rows and no shuffle, as the listed codes are a small part of the two code dimensions.
+    """
 
     def listed(dim: DataFrame, code: str, position: int) -> DataFrame:
-        found = F.array_compact(F.array(*[F.when(in_codes(code, c[position]), F.lit(g)) for g, c in groups.items()]))
-        return dim.withColumn("group", found).where(F.size("group") > 0)
+        bits = flag_bits({name: in_codes(code, lists[position]) for name, lists in PROBLEMS.items()})
+        return dim.withColumn("bits", bits).where("bits <> 0")
 
     rows = t["tb_fat_atd_ind_problemas"]
-    rows = lookup(rows, listed(t["tb_dim_ciap"], "nu_ciap", 0), "co_dim_ciap", "co_seq_dim_ciap", {"by_ciap": "group"})
-    rows = lookup(rows, listed(t["tb_dim_cid"], "nu_cid", 1), "co_dim_cid", "co_seq_dim_cid", {"by_cid": "group"})
-    return rows.where(F.col("by_ciap").isNotNull() | F.col("by_cid").isNotNull()).select(
-        F.col("co_fat_atd_ind").alias("attendance_id"),
-        F.explode(F.flatten(F.array_compact(F.array("by_ciap", "by_cid")))).alias("group"),
-    )
+    rows = lookup(rows, listed(t["tb_dim_ciap"], "nu_ciap", 0), "co_dim_ciap", "co_seq_dim_ciap", {"by_ciap": "bits"})
+    rows = lookup(rows, listed(t["tb_dim_cid"], "nu_cid", 1), "co_dim_cid", "co_seq_dim_cid", {"by_cid": "bits"})
+    bits = F.coalesce("by_ciap", F.lit(0)).bitwiseOR(F.coalesce("by_cid", F.lit(0)))
+    return rows.select(F.col("co_fat_atd_ind").alias("attendance_id"), bits.alias("bits")).where("bits <> 0")
+
+
+def tagged_as(name: str) -> Column:
+    """True for tagged problem rows of one list."""
+    return F.col("bits").bitwiseAND(1 << list(PROBLEMS).index(name)) != 0
 
 
-def qualifying_attendances(t: Tables, rule: Rule) -> DataFrame:
+def qualifying_attendances(t: Tables, rule: Rule, problems: DataFrame | None = None) -> DataFrame:
     """Attendances of the lookback period by a listed occupation with at least one listed problem, one row each."""
+    problems = tagged_problems(t) if problems is None else problems
     time = t["tb_dim_tempo"]
     recent = time.where(lookback(F.col("dt_registro"), rule.today, rule.lookback_days))
     occupations = t["tb_dim_cbo"].where(starts_with_any(F.col("nu_cbo"), codes.COHORT_OCCUPATIONS))
 
-    rows = t["tb_fat_atendimento_individual"].where(in_key_range(recent))
+    rows = t["tb_fat_atendimento_individual"].where(on_days(recent))
     rows = lookup(rows, recent, "co_dim_tempo", "co_seq_dim_tempo", {"event_date": "dt_registro"}, "inner")
     rows = lookup(rows, occupations, "co_dim_cbo_1", "co_seq_dim_cbo", {}, "inner")
     reported = {"reported_start": "dt_registro", "reported_year": "nu_ano"}
     rows = lookup(rows, time, "co_dim_tempo_dum", "co_seq_dim_tempo", reported, "inner")
-    problems = problem_groups(t, {"cohort": (codes.COHORT_CIAP, codes.COHORT_CID)})
-    rows = with_child(rows, problems, "co_seq_fat_atd_ind", "attendance_id")
-
     units = F.col("nu_idade_gestacional_semanas")
     start = rule.dating.start(F.col("reported_start"), F.col("reported_year"), F.col("event_date"), units)
-    return rows.select(
+    rows = rows.select(
         F.col("co_seq_fat_atd_ind").alias("attendance_id"),
         F.col("co_fat_cidadao_pec").alias("citizen_id"),
         "event_date",
         start.alias("start"),
         units.alias("units"),
     )
+    return with_child(rows, problems.where(tagged_as("cohort")), "attendance_id", "attendance_id")
 
 
-def cohort(t: Tables, rule: Rule) -> DataFrame:
+def cohort(t: Tables, rule: Rule, problems: DataFrame | None = None) -> DataFrame:
     """One row per person: latest attendance (``case_id``), own identity columns, contact summary and episode dates."""
 
     def with_birth_date(ids: DataFrame) -> DataFrame:
@@ -124,41 +146,47 @@ def cohort(t: Tables, rule: Rule) -> DataFrame:
         return lookup(ids, t["tb_dim_tempo"], "co_dim_tempo_nascimento", "co_seq_dim_tempo", born, "inner")
 
     identity = ["co_dim_tempo_nascimento", "nu_cpf_cidadao", "nu_cns", "nu_telefone_celular"]
+    rows = with_order_key(qualifying_attendances(t, rule, problems), "event_date", "attendance_id")
     known_start = f"start <> DATE '{rule.dating.unknown_date}'"
     firsts = {
-        "first_dated": earliest("event_date", "attendance_id", "start", "start IS NOT NULL"),
-        "first_start": earliest("event_date", "attendance_id", "start", known_start),
-        "first_units": earliest("event_date", "attendance_id", "units", "units IS NOT NULL"),
+        "first_dated": earliest(rows, "_order_key", "event_date", "start", "start IS NOT NULL"),
+        "first_start": earliest(rows, "_order_key", "event_date", "start", known_start),
+        "first_units": earliest(rows, "_order_key", "event_date", "units", "units IS NOT NULL"),
     }
+    last = ["attendance_id", "event_date"]
     persons = merge_ids(
-        qualifying_attendances(t, rule),
+        rows,
         "citizen_id",
         t["tb_fat_cidadao_pec"],
         "co_seq_fat_cidadao_pec",
         ["no_cidadao", "birth_date"],
-        per_id={"contacts": F.count("*"), "last": F.max(F.struct("event_date", "attendance_id")), **firsts},
+        per_id={"contacts": F.count("*"), "last": best_of(rows, "_order_key", last), **firsts},
         merged={
             "contacts": F.sum("contacts"),
-            "latest": F.max(F.struct("last", *identity)),
-            **{name: F.min(name) for name in firsts},
+            "latest": best_again("last", last, {"citizen_id": "_fact_id"}),
+            **{name: earliest_again(name) for name in firsts},
         },
         resolve=with_birth_date,
     )
     dated = F.col("first_dated.value")
     dates = {"due": rule.dating.due(dated), "age": rule.dating.age(dated, rule.today)}
-    return persons.withColumns(dates).selectExpr(
-        "latest.last.attendance_id AS case_id",
+    persons = persons.withColumns(dates).selectExpr(
+        "latest.attendance_id AS case_id",
+        "latest.citizen_id AS citizen_id",
         "no_cidadao",
         "birth_date",
-        *[f"latest.{c}" for c in identity],
         "contacts",
-        "latest.last.event_date AS last_contact",
+        "latest.event_date AS last_contact",
         "first_dated.order AS first_contact",
         "first_start.value AS start",
         "due",
         "age",
         "first_units.value AS first_units",
     )
+    own = lookup(
+        persons, t["tb_fat_cidadao_pec"], "citizen_id", "co_seq_fat_cidadao_pec", {c: c for c in identity}, "inner"
+    )
+    return own.drop("citizen_id")
 
 
 @dataclass(frozen=True)
@@ -166,37 +194,45 @@ class Members:
     """Every citizen id with the name and birth key of a case: (member_id, case_id, start, due)."""
 
     ids: DataFrame
-    first_day: datetime.date | None
-    last_day: datetime.date | None
+    count: int
+
+    def of(self, facts: DataFrame) -> DataFrame:
+        """Facts of member ids and of few others."""
+        return IdFilter(self.ids, "member_id", self.count).keep(facts, "co_fat_cidadao_pec")
+
+    def days(self, t: Tables) -> DataFrame:
+        """The days of the time dimension that lie in an episode of any case."""
+        spans = self.ids.selectExpr("start", "CAST(due AS DATE) AS due").where("start <= due").distinct()
+        inside = spans.select(F.explode(F.sequence("start", "due")).alias("day")).distinct()
+        return t["tb_dim_tempo"].join(inside, F.col("dt_registro") == F.col("day"), "inner").drop("day")
 
 
 def cohort_members(t: Tables, cases: DataFrame, rule: Rule, scratch: Scratch) -> Members:
-    """The cohort's members, written, and the span of their episodes, read back from there."""
+    """The cohort's members, written, and how many there are."""
     natural_key = ["no_cidadao", "co_dim_tempo_nascimento"]
     carry = ["case_id", "start", "due"]
     found = members_of(t["tb_fat_cidadao_pec"], "co_seq_fat_cidadao_pec", natural_key, cases, carry)
     ids = scratch.save(found.withColumnRenamed("co_seq_fat_cidadao_pec", "member_id"), "members")
-    seen = ids.agg(F.min("start").alias("first"), F.max("due").alias("last"), F.count("start").alias("started")).first()
-    if seen["started"] and (seen["first"] is None or seen["last"] is None):
-        raise ValueError("members have a start but no span of days")
-    return Members(ids, seen["first"], seen["last"].date() if seen["last"] else None)
+    return Members(ids, ids.count())
 
 
 def record_history(t: Tables, members: Members) -> DataFrame:
-    """All records that "latest" is asked of, in one long table: citizen_id, kind, time_key, record_id, payload."""
+    """All records of members that "latest" is asked of, in one long table: citizen_id, kind, time_key, record_id, ids."""
+    dated = {"co_dim_tempo": "co_dim_tempo"}
     home = lookup(
-        t["tb_fat_cad_dom_familia"],
+        members.of(t["tb_fat_cad_dom_familia"]),
         t["tb_fat_cad_domiciliar"],
         "co_fat_cad_domiciliar",
         "co_seq_fat_cad_domiciliar",
-        {"no_logradouro": "no_logradouro", "nu_num_logradouro": "nu_num_logradouro", "co_dim_tempo": "co_dim_tempo"},
+        dated,
         "inner",
     )
     visit, registration, attendance = (
-        t[name] for name in ("tb_fat_visita_domiciliar", "tb_fat_cad_individual", "tb_fat_atendimento_individual")
+        members.of(t[name])
+        for name in ("tb_fat_visita_domiciliar", "tb_fat_cad_individual", "tb_fat_atendimento_individual")
     )
     sources = [
-        ("home", home, "co_fat_cad_domiciliar", {"street": "no_logradouro", "number": "nu_num_logradouro"}),
+        ("home", home, "co_fat_cad_domiciliar", {}),
         ("visit", visit, "co_seq_fat_visita_domiciliar", {"professional": "co_dim_profissional"}),
         (
             "registration",
@@ -226,18 +262,21 @@ def record_history(t: Tables, members: Members) -> DataFrame:
 
 def responsible(t: Tables, members: Members) -> DataFrame:
     """Per case: unit, team, worker, last visit and address from the latest records of all the person's ids."""
-    per_id = {kind: best_of("time_key", "record_id", keep, f"kind = '{kind}'") for kind, keep in RECORDS.items()}
+    history = with_order_key(record_history(t, members), "time_key", "record_id")
+    per_id = {kind: best_of(history, "_order_key", keep, f"kind = '{kind}'") for kind, keep in RECORDS.items()}
     latest = merge_ids(
-        record_history(t, members),
+        history,
         "citizen_id",
         members.ids,
         "member_id",
         ["case_id"],
         per_id,
-        merged={kind: F.max(kind) for kind in RECORDS},
+        merged={kind: best_again(kind, keep) for kind, keep in RECORDS.items()},
     )
     kept = [f"{kind}.{c} AS {kind}_{c}" for kind, keep in RECORDS.items() for c in keep]
     latest = latest.selectExpr("case_id", *kept)
+    street = {"home_street": "no_logradouro", "home_number": "nu_num_logradouro"}
+    latest = lookup(latest, t["tb_fat_cad_domiciliar"], "home_record_id", "co_seq_fat_cad_domiciliar", street)
     unit = {"code": "nu_cnes", "name": "no_unidade_saude"}
     team = {"code": "nu_ine", "name": "no_equipe"}
     for kind in ("registration", "attendance"):
@@ -268,16 +307,17 @@ def responsible(t: Tables, members: Members) -> DataFrame:
     )
 
 
-def episode_events(t: Tables, members: Members) -> DataFrame:
-    """All events the flags ask for, in one long table: citizen_id, day, flag.
+def episode_events(t: Tables, members: Members, problems: DataFrame | None = None) -> DataFrame:
+    """All events of members that the flags ask for, in one long table: citizen_id, day, flag.
 
-    Only from the first to the last day of the cohort's episodes; no flag looks outside.
+    Only on days of the cohort's episodes; no flag looks outside.
     """
-    days = t["tb_dim_tempo"].where(F.col("dt_registro").between(F.lit(members.first_day), F.lit(members.last_day)))
-    in_range = in_key_range(days)
+    problems = tagged_problems(t) if problems is None else problems
+    days = members.days(t)
+    in_episodes = on_days(days)
 
     def timely(fact: str) -> DataFrame:
-        return t[fact].where(in_range)
+        return members.of(t[fact].where(in_episodes))
 
     def tests(fact: str, procedure: str, occupation: str, sets: dict[str, list[str]]) -> DataFrame:
         found = F.array_compact(F.array(*[F.when(in_codes("co_proced", c), F.lit(name)) for name, c in sets.items()]))
@@ -291,19 +331,20 @@ def episode_events(t: Tables, members: Members) -> DataFrame:
     evaluated = {"hiv": codes.HIV_EVALUATED, "syphilis": codes.SYPHILIS_EVALUATED}
     dentists = t["tb_dim_cbo"].where(starts_with_any(F.col("nu_cbo"), codes.DENTAL_OCCUPATIONS))
     dental = lookup(timely("tb_fat_atendimento_odonto"), dentists, "co_dim_cbo_1", "co_seq_dim_cbo", {}, "inner")
-    outcomes = problem_groups(
-        t, {"loss": (codes.LOSS_CIAP, codes.LOSS_CID), "birth": (codes.BIRTH_CIAP, codes.BIRTH_CID)}
-    ).distinct()
     attendances = timely("tb_fat_atendimento_individual").select(
         "co_seq_fat_atd_ind", "co_fat_cidadao_pec", "co_dim_tempo"
     )
+    recorded = {name: tagged_as(name) for name in ("loss", "birth")}
+    outcomes = problems.select(
+        "attendance_id", F.explode(F.array_compact(F.array(*[F.when(hit, F.lit(n)) for n, hit in recorded.items()]))).alias("flag")
+    )
     outcomes = attendances.join(outcomes, F.col("co_seq_fat_atd_ind") == F.col("attendance_id"), "inner")
 
     sources = [
         dental.withColumn("flag", F.lit("dental")),
         tests("tb_fat_proced_atend_proced", "co_dim_procedimento", "co_dim_cbo", standalone),
         tests("tb_fat_atd_ind_procedimentos", "co_dim_procedimento_avaliado", "co_dim_cbo_1", evaluated),
-        outcomes.withColumnRenamed("group", "flag"),
+        outcomes,
     ]
     long = reduce(DataFrame.unionByName, [s.select("co_fat_cidadao_pec", "co_dim_tempo", "flag") for s in sources])
     dated = lookup(long, days, "co_dim_tempo", "co_seq_dim_tempo", {"day": "dt_registro"}, "inner")
@@ -351,12 +392,13 @@ def present(cases: DataFrame, rule: Rule, built_at: Column | None = None) -> Dat
 def worklist(
     spark: SparkSession, t: Tables, rule: Rule, built_at: Column | None = None, scratch: Scratch | None = None
 ) -> DataFrame:
-    """The whole worklist. The cohort and its member ids are written to the scratch folder on the way."""
+    """The whole worklist. Tagged problems, the cohort and its member ids are written to the scratch folder on the way."""
     scratch = scratch or Scratch(spark)
-    cases = scratch.save(cohort(t, rule), "cohort")
+    problems = scratch.save(tagged_problems(t), "problems")
+    cases = scratch.save(cohort(t, rule, problems), "cohort")
     members = cohort_members(t, cases, rule, scratch)
     lookups = responsible(t, members)
-    events = episode_events(t, members)
+    events = episode_events(t, members, problems)
     flags = flags_of_ids(
         events, "citizen_id", members.ids, "member_id", "case_id", "start", "due", FLAGS
     )

@@ -108,11 +108,12 @@ def test_ids_to_persons(spark, seed):
     case_of = {c[1:3]: c for c in cases}
     assert {(m.pid, m.case_id) for m in members.collect()} == {(i, case_of[k][0]) for i, k in person_of.items()}
 
-    best = ops.best_of("day", "fid", ["fid"], "flag <> 'z'")
+    keyed = ops.with_order_key(events, "day", "fid")
+    best = ops.best_of(keyed, "_order_key", ["fid"], "flag <> 'z'")
     latest = ops.merge_ids(
-        events, "who", members, "pid", ["case_id"],
+        keyed, "who", members, "pid", ["case_id"],
         per_id={"n": F.count("*"), "best": best},
-        merged={"n": F.sum("n"), "best": F.max("best")},
+        merged={"n": F.sum("n"), "best": ops.best_again("best", ["fid"])},
     )
     flags = ops.flags_of_ids(events, "who", members, "pid", "case_id", "start", "due", ["x", "y"])
 
@@ -149,6 +150,37 @@ def test_with_flags(spark, seed):
     assert {r.k: (r.x, r.y) for r in found.collect()} == want
 
 
+@pytest.mark.parametrize("seed", SEEDS)
+def test_flags_in_one_pass(spark, seed):
+    """Cases are the aggregates of the rows that events hang on; a hot case, events without a day, bits together."""
+    r = random.Random(seed)
+    rows = []
+    for i in range(400):
+        event = r.random() < 0.6
+        rows.append((5 if i % 3 == 0 else r.choice([None, *range(12)]), i, day(r.randrange(60)), day(r.randrange(120)) if event else None, r.randrange(1, 8) if event else None))
+    table = spark.createDataFrame(rows, "k int, nr bigint, start date, day date, bits int").repartition(6)
+    found = ops.flags_in_one_pass(table, ["k"], {"nr": "max", "start": "min"}, F.date_add("start", 20), "start", ["x", "y", "z"])
+    by = defaultdict(list)
+    for row in rows:
+        by[row[0]].append(row)
+    want = {}
+    for k, members in by.items():
+        start = min(m[2] for m in members)
+        end = start + datetime.timedelta(20)
+        bits = 0
+        for m in members:
+            if m[3] and start <= m[3] <= end:
+                bits |= m[4]
+        want[k] = (max(m[1] for m in members), start, end, bool(bits & 1), bool(bits & 2), bool(bits & 4))
+    assert {x.k: (x.nr, x.start, x.due, x.x, x.y, x.z) for x in found.collect()} == want
+
+
+def test_flag_bits(spark):
+    rows = spark.createDataFrame([(1, 2), (5, None), (None, None)], "a int, b int")
+    bits = ops.flag_bits({"low": F.col("a") < 3, "odd": F.col("a") % 2 == 1, "two": F.col("b") == 2})
+    assert [x.bits for x in rows.select(bits.alias("bits")).collect()] == [7, 2, 0]
+
+
 def test_lookup_roles_and_kinds(spark):
     facts = spark.createDataFrame([(1, 10, 20), (2, 20, None), (3, 99, 10)], "id int, a int, b int")
     dim = spark.createDataFrame([(10, "ten"), (20, "twenty")], "k int, name string")

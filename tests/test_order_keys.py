@@ -1,0 +1,88 @@
+"""Order keys, and the aggregates over them, against sorting."""
+
+import datetime
+import random
+
+import pytest
+
+from episodica import operators as ops
+
+EDGE = [-(2**63), -(2**63) + 1, -(2**32), -1, 0, 1, 2**31, 2**62, 2**63 - 2, 2**63 - 1]
+DAYS = [datetime.date(1, 1, 1), datetime.date(1900, 2, 28), datetime.date(1969, 12, 31), datetime.date(1970, 1, 1), datetime.date(3000, 12, 31)]
+TIMES = [datetime.datetime(1583, 1, 1), datetime.datetime(1969, 12, 31, 23, 59, 59, 999_999), datetime.datetime(1970, 1, 1), datetime.datetime(2024, 3, 31, 2, 30, 0, 1), datetime.datetime(2024, 10, 27, 1, 59, 59, 999_998), datetime.datetime(2024, 10, 27, 1, 59, 59, 999_999)]
+
+
+def ranked(order, tie):
+    return (order is None, 0 if order is None else order, -(2**63) if tie is None else tie)
+
+
+@pytest.mark.parametrize(("kind", "orders"), [
+    ("bigint", [-(5 * 10**18) + 1, -1, 0, 1, 20240101, 5 * 10**18 - 1]), ("int", [-(2**31), -1, 0, 2**31 - 1]),
+    ("date", DAYS), ("timestamp_ntz", TIMES),
+])
+def test_keys_sort_as_their_columns(spark, kind, orders):
+    rows = [(o, t) for o in [*orders, None] for t in [*EDGE, None]]
+    random.Random(1).shuffle(rows)
+    keyed = ops.with_order_key(spark.createDataFrame(rows, f"o {kind}, t bigint"), "o", "t")
+    got = [(r.o, r.t) for r in keyed.orderBy("_order_key").collect()]
+    want = sorted(rows, key=lambda r: ranked(*r))
+    assert [ranked(*r) for r in got] == [ranked(*r) for r in want]
+    # Only a missing tie and the lowest one share a key.
+    assert keyed.select("_order_key").distinct().count() == len(rows) - len(orders) - 1
+
+
+def test_a_time_zone_with_summer_time_changes_no_order(spark):
+    rows = spark.createDataFrame([(t, i) for i, t in enumerate(TIMES)], "o timestamp_ntz, t bigint")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        got = [r.t for r in ops.with_order_key(rows, "o", "t").orderBy("_order_key").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == sorted(range(len(TIMES)), key=lambda i: TIMES[i])
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "date"])
+def test_first_and_last_rows(spark, kind):
+    r = random.Random(len(kind))
+    value = (lambda n: DAYS[3] + datetime.timedelta(n)) if kind == "date" else (lambda n: n)
+    rows = [(k % 7 and r.randrange(6), r.choice([None, *map(value, range(-4, 5))]), t, r.choice([None, 1.5, 2.5]), r.choice([True, False])) for k, t in enumerate(r.sample([*range(-500, 500), *EDGE[1:]], 400))]
+    keyed = ops.with_order_key(spark.createDataFrame(rows, f"e int, o {kind}, t bigint, v double, f boolean").repartition(5), "o", "t")
+    found = keyed.groupBy("e").agg(
+        ops.best_of(keyed, "_order_key", ["o", "t", "v"], "f").alias("last"),
+        ops.earliest(keyed, "_order_key", "o", "v", "v IS NOT NULL").alias("first"),
+    )
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[0], []).append(row)
+    want = {}
+    for e, members in groups.items():
+        last = max((m for m in members if m[4]), key=lambda m: ranked(m[1], m[2]), default=(None,) * 4)
+        first = min((m for m in members if m[3] is not None), key=lambda m: ranked(m[1], m[2]), default=(None,) * 4)
+        want[e] = (last[1:4], (first[1], first[3]))
+    got = {x.e: ((x["last"].o, x["last"].t, x["last"].v), (x["first"].order, x["first"].value)) for x in found.collect()}
+    assert got == want
+    again = keyed.groupBy("e", "f").agg(ops.best_of(keyed, "_order_key", ["t"]).alias("b"), ops.earliest(keyed, "_order_key", "o", "v", "v > 2").alias("a"))
+    merged = again.groupBy("e").agg(ops.best_again("b", ["t"], {"f": "f"}).alias("b"), ops.earliest_again("a").alias("a"))
+    for x in merged.collect():
+        last = max(groups[x.e], key=lambda m: ranked(m[1], m[2]))
+        first = min((m for m in groups[x.e] if m[3] and m[3] > 2), key=lambda m: ranked(m[1], m[2]), default=(None,) * 4)
+        assert (x.b.t, x.b.f) == (last[2], last[4]) and (x.a.order, x.a.value) == (first[1], first[3])
+
+
+def test_what_has_no_key(spark):
+    rows = spark.createDataFrame([("a", 1, 6 * 10**18)], "s string, t bigint, n bigint")
+    with pytest.raises(TypeError, match="s is string"):
+        ops.with_order_key(rows, "s", "t")
+    with pytest.raises(TypeError, match="tie"):
+        ops.with_order_key(rows, "t", "s")
+    with pytest.raises(TypeError, match="look them up"):
+        ops.latest_by(rows, ["t"], "t", "t", ["s"])
+    with pytest.raises(Exception, match="order out of range"):
+        ops.with_order_key(rows, "n", "t").collect()
+
+
+def test_empty_rows(spark):
+    rows = ops.with_order_key(spark.createDataFrame([], "e int, o date, t bigint"), "o", "t")
+    assert rows.groupBy("e").agg(ops.best_of(rows, "_order_key", ["t"]).alias("b")).collect() == []
+    assert rows.agg(ops.best_of(rows, "_order_key", ["o", "t"]).alias("b")).selectExpr("b.o", "b.t").first() == (None, None)

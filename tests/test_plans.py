@@ -61,12 +61,37 @@ def test_cohort_aggregates_before_every_shuffle_on_ids_and_persons(spark):
 
 
 def test_dimensions_filter_attendances_before_they_meet_their_problems(spark):
-    """The shuffle on the attendance key comes after the joins to date, occupation and reported start."""
+    """The shuffle on the attendance key comes after the joins to date, occupation and reported start, and equal rows are
+    merged after it, without another one."""
     lines = plan(qualifying_attendances(health_tables(spark, FOLDER), Rule(AS_OF)), "simple").splitlines()
-    at = next(i for i, line in enumerate(lines) if re.search(r"(SortMergeJoin|HashJoin) .*co_seq_fat_atd_ind", line))
+    at = next(i for i, line in enumerate(lines) if re.search(r"(SortMergeJoin|HashJoin) .*attendance_id", line))
     below = [line for line in lines[at + 1 :] if "BroadcastHashJoin" in line]
     for column in ("co_dim_tempo#", "co_dim_cbo_1#", "co_dim_tempo_dum#"):
         assert any(column in line for line in below)
+    assert "HashAggregate" in lines[at - 2] and not any("Exchange" in line for line in lines[:at])
+
+
+FIRST_AND_LAST = [
+    "top1_per_entity", "latest_per_entity", "latest_via_bridge", "responsible_lookup", "first_non_null",
+    "first_non_null_events", "first_non_sentinel", "episode_active_search",
+]
+
+
+@pytest.mark.parametrize("name", FIRST_AND_LAST)
+def test_first_and_last_rows_are_hash_aggregates(spark, name):
+    text = plan(entry.queries()[name](spark, FOLDER), "simple")
+    assert "SortAggregate" not in text and "HashAggregate" in text
+
+
+def test_the_cohort_sorts_nothing_to_aggregate(spark):
+    assert "SortAggregate" not in plan(cohort(health_tables(spark, FOLDER), Rule(AS_OF)), "simple")
+
+
+@pytest.mark.parametrize("name", ["flag_interval_exists", "flag_union_branches", "flag_or_codes"])
+def test_flags_read_each_fact_once(spark, name):
+    text = plan(entry.queries()[name](spark, FOLDER), "simple")
+    for table in ("orders", "lineitem"):
+        assert len(re.findall(rf"FileScan parquet .*/{table}\.parquet", text)) == 1
 
 
 @pytest.fixture
