@@ -51,7 +51,7 @@ def crowd(spark, history: int, hot: int) -> dict:
     """Forty members with ten records each, ``history`` other ids with ten each, one member and one other with ``hot``."""
     c = Clinic()
     t = dict(c.tables(spark))
-    ten = F.explode(F.sequence(F.lit(0), F.lit(9))).cast("long").alias("n")
+    ten = F.expr("explode(sequence(0L, 9L)) AS n")
     rows = spark.range(40).select("id", ten).unionByName(spark.range(1000, 1000 + history).select("id", ten))
     for who in (3, 999_999):
         rows = rows.unionByName(spark.range(hot).select(F.lit(who).cast("long").alias("id"), F.col("id").alias("n")))
