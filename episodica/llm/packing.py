@@ -28,16 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from episodica.llm.common import BYTE, IS_GAP, LOWER, PIECE, hash_words
+from episodica.llm.common import IS_GAP, LOWER, PIECE
+from episodica.llm.units import UnitEncoder
 from episodica.session import Scratch
 
 GAP = re.compile(rb"[\x20\x09-\x0D]")
 GAPS = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
 
-#: Bytes encoded at a time; units remembered before all are forgotten.
-SLICE = 1 << 20
-UNITS = 1 << 20
-
 _ascii = np.arange(256)
 _LETTER = ((_ascii | 32) >= 97) & ((_ascii | 32) <= 122) & (_ascii < 128)
 _DIGIT = (_ascii >= 48) & (_ascii <= 57)
@@ -55,97 +52,49 @@ class Sequences:
     least: float = 1e-4
 
 
-class Encoder:
-    """Ids of texts, each unit encoded once by the tokenizer and remembered under a 64-bit hash.
+class Encoder(UnitEncoder):
+    """Ids of a tokenizer whose tokens all end at white space and between an ASCII letter and an ASCII mark.
 
-    Every token of this tokenizer ends at white space and between an ASCII letter and an ASCII mark other than an
-    apostrophe, so what lies between two such places is a unit: its ids don't depend on its neighbours. Case is dropped,
-    so units are hashed in lower case; a letter before a byte beyond ASCII keeps its case, as it may compose with it.
+    What lies between two such places is a unit. An apostrophe is no such mark. Case is dropped, so units are hashed in
+    lower case; a letter before a byte beyond ASCII keeps its case, as it may compose with it.
     """
 
+    gap = IS_GAP
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # control tokens spelled out in a text stay text
-        self._forget()
 
-    def _forget(self) -> None:
-        self.hashes, self.begins, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, "<u4")
+    def edges(self, data: np.ndarray) -> np.ndarray:
+        kind = KIND[data]
+        edge = np.zeros(len(data), bool)
+        edge[1:] = (kind[1:] ^ kind[:-1]) == 3
+        return edge
 
-    def _learn(self, hashes: np.ndarray, units: list[bytes]) -> None:
-        """Remember units; ``hashes`` ascend and none is known yet."""
+    def folded(self, data: np.ndarray) -> np.ndarray:
+        lower = LOWER[data]
+        beyond = np.flatnonzero(data[1:] >= 128)
+        lower[beyond] = data[beyond]
+        return lower
+
+    def encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         found = self.tokenizer.encode([u.decode() for u in units], is_pretokenized=True, add_special_tokens=False)
         ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(units) + 1))
-        at = np.searchsorted(self.hashes, hashes)
-        self.hashes = np.insert(self.hashes, at, hashes)
-        self.begins = np.insert(self.begins, at, ends[:-1] + len(self.ids))
-        self.counts = np.insert(self.counts, at, np.diff(ends))
-        self.ids = np.concatenate([self.ids, np.array(found.ids, "<u4")])
-
-    def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The ids of each text; together about SLICE bytes, and none longer than PIECE."""
-        datas, hashes, firsts, units_of, run, held = [], [], [], [], [], 0
-        for text in [*texts, None]:
-            if run and (text is None or held + len(text) > PIECE):
-                data = np.frombuffer(b" ".join(run) or b" ", np.uint8)
-                hashed, starts, stops = _units(data)
-                ends = np.cumsum([len(t) + 1 for t in run])
-                units_of.append(np.diff(np.searchsorted(starts, ends), prepend=0))
-                datas.append((data, starts, stops)), hashes.append(hashed), firsts.append(len(hashed))
-                run, held = [], 0
-            if text is not None:
-                run.append(text)
-                held += len(text) + 1
-        if not datas:
-            return []
-        distinct, first, which = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-        at = np.searchsorted(self.hashes, distinct)
-        known = np.zeros(len(distinct), bool)
-        inside = at < len(self.hashes)
-        known[inside] = self.hashes[at[inside]] == distinct[inside]
-        if not known.all():
-            bases = np.cumsum([0, *firsts])
-            unknown = first[~known]
-            runs = np.searchsorted(bases, unknown, "right") - 1
-            new = []
-            for r, u in zip(runs.tolist(), (unknown - bases[runs]).tolist()):
-                data, starts, stops = datas[r]
-                new.append(data[starts[u] : stops[u]].tobytes())
-            self._learn(distinct[~known], new)
-            at = np.searchsorted(self.hashes, distinct)
-        begins, counts = self.begins[at][which], self.counts[at][which]
-        through = np.cumsum(counts)
-        total = int(through[-1]) if len(through) else 0
-        ids = self.ids[np.repeat(begins - (through - counts), counts) + np.arange(total)]
-        if len(self.hashes) > UNITS:
-            self._forget()
-        ends = np.concatenate([[0], through])[np.cumsum(np.concatenate(units_of))]
-        return np.split(ids, ends[:-1])
-
-    def encode_all(self, texts: Iterator[bytes]) -> Iterator[np.ndarray]:
-        run, held = [], 0
-        for text in texts:
-            if len(text) > PIECE:
-                yield from self.encode(run)
-                run, held = [], 0
-                yield np.concatenate([self._long(part) for part in _slices(text)])
-                continue
-            run.append(text)
-            held += len(text)
-            if held > SLICE:
-                yield from self.encode(run)
-                run, held = [], 0
-        yield from self.encode(run)
-
-    def _long(self, part: bytes) -> np.ndarray:
+        return np.array(found.ids, "<u4"), np.diff(ends)
+
+    def encode_long(self, text: bytes) -> np.ndarray:
+        return np.concatenate([self._part(part) for part in slices(text)])
+
+    def _part(self, part: bytes) -> np.ndarray:
         if len(part) <= PIECE:
             return self.encode([part])[0]
         return np.array(self.tokenizer.encode(part.decode(), add_special_tokens=False).ids, "<u4")
 
 
-def _slices(text: bytes) -> Iterator[bytes]:
+def slices(text: bytes) -> Iterator[bytes]:
     """Parts of a text that end at white space, of up to PIECE bytes or, where there is none, as long as one word."""
     at = 0
     while at < len(text):
@@ -160,20 +109,6 @@ def _slices(text: bytes) -> Iterator[bytes]:
         at = end
 
 
-def _units(data: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Hashes, first bytes and ends of the units of up to about PIECE bytes."""
-    kind = KIND[data]
-    edge = np.zeros(len(data), bool)
-    edge[1:] = (kind[1:] ^ kind[:-1]) == 3
-    lower = LOWER[data]
-    beyond = np.flatnonzero(data[1:] >= 128)
-    lower[beyond] = data[beyond]
-    hashes, starts = hash_words(lower, edge, IS_GAP, BYTE, ())
-    last = ~IS_GAP[data]
-    last[:-1] &= IS_GAP[data[1:]] | edge[1:]
-    return hashes, starts, np.flatnonzero(last) + 1
-
-
 @cache
 def encoder(path: str) -> Encoder:
     """One per worker."""

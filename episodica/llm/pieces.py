@@ -1,12 +1,13 @@
 """Exact encoding with a merge-type SentencePiece model by backtracking, and decoding.
 
 A sequence of pieces is what merging would give exactly if every two neighbours are: merging their joined text gives
-these two again. So the encoder takes the longest piece that matches at a position (from the trie of an Aho-Corasick
-automaton), checks it against the piece before by merging the two anew (the outcome is kept), and on a dead end
-marks the position as failed, steps back and takes the next shorter piece.
+these two again. So the encoder takes the longest piece that matches at a position (an Aho-Corasick automaton runs over
+the text once and finds all), checks it against the piece before by merging the two anew (the outcome is kept), and on a
+dead end marks the position as failed, steps back and takes the next shorter piece.
 
-Pieces never hold a space mark after another character, so a text is encoded in chunks that begin at space marks;
-chunks repeat and their ids are kept. Runs of several marks merge by place, not by rank, and are merged directly.
+Pieces never hold a space mark after another character, so a text is encoded in units that begin at space marks and
+where no piece holds the two neighbouring characters; each distinct unit is encoded once. Runs of several marks merge by
+place, not by rank, and are merged directly.
 
 Edge cases: null or empty text gives the end id alone; characters outside the vocabulary become byte pieces; a space
 mark in the text reads back as a space, as in the library; repeated rows are encoded each.
@@ -27,10 +28,14 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from episodica.llm.common import PIECE
+from episodica.llm.units import UnitEncoder
+
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Words that a Python worker keeps before the older half goes, and checked neighbours before they start afresh.
-KEPT = 200_000
+#: Words that a Python worker keeps for texts with runs of marks before the older half goes, and checked neighbours
+#: before they start afresh.
+KEPT = 100_000
 PAIRS = 600_000
 #: Texts of up to so many characters are merged without a heap.
 SHORT = 24
@@ -61,7 +66,8 @@ class Pieces:
         if any(MARK in p.lstrip(MARK) or p.startswith(MARK * 2) and p.strip(MARK) for p in self.ids) or len(self.bytes) != 256:
             raise ValueError("the model joins words or has no byte pieces")
         self.texts = {i: p for p, i in self.ids.items()}
-        self.longest = max(map(len, self.ids))
+        self.size_of = {i: len(p) for p, i in self.ids.items()}
+        self.reach = max(self.size_of.values())
         self.others: dict[str, int] = {}  # characters outside the vocabulary, numbered after it
         self.first_other = model.get_piece_size()
         self.pairs: dict[int, bool] = {}
@@ -78,6 +84,18 @@ class Pieces:
         found.make_automaton()
         return found
 
+    @cached_property
+    def shorter(self) -> dict[int, int]:
+        """The longest other piece that a piece begins with. Where a single character is none, ``_other`` takes its place."""
+        found = {}
+        for piece, i in self.ids.items():
+            sizes = range(len(piece) - 1, 0, -1)
+            found[i] = next((self.ids[piece[:n]] for n in sizes if piece[:n] in self.ids), -1)
+            if found[i] < 0 and len(piece) > 1:
+                found[i] = self.others.setdefault(piece[0], self.first_other + len(self.others))
+                self.texts[found[i]], self.size_of[found[i]], found[found[i]] = piece[0], 1, -1
+        return found
+
     def merge(self, text: str) -> list[str]:
         """Pieces by merging: the best-ranked neighbours first, of equal ranks the leftmost."""
         if len(text) <= SHORT:
@@ -130,43 +148,50 @@ class Pieces:
 
     def _other(self, char: str) -> int:
         i = self.others.setdefault(char, self.first_other + len(self.others))
-        self.texts[i] = char
+        self.texts[i], self.size_of[i], self.shorter[i] = char, 1, -1
         return i
 
     def split(self, chunk: str) -> list[int]:
-        """Pieces of a chunk by longest matches and backtracking."""
-        size, pairs, known_ids, reach = len(chunk), self.pairs, self.ids, self.longest
-        longest = self.automaton.longest_prefix
-        failed = bytearray(size + 1)
+        """Pieces of a chunk by longest matches and backtracking.
+
+        One run of the automaton finds the longest matches one after another; where a step back leads to another place, the
+        match there is looked up. ``shorter`` leads from a piece to the longest piece that begins it.
+        """
+        end, pairs, size_of, shorter = len(chunk), self.pairs, self.size_of, self.shorter
+        longest = {last + 1 - size_of[i]: i for last, i in self.automaton.iter_long(chunk)}
+        failed = 0  # one bit per place from which no way leads to the end
         taken: list[int] = []
-        starts: list[int] = []
         at, left = 0, -1
-        stop = longest(chunk[:reach]) or 1
+        i = longest[0] if 0 in longest else self._longest(chunk, 0)
         while True:
-            while stop > at:
-                if not failed[stop]:
-                    i = known_ids.get(chunk[at:stop])
-                    if i is None and stop == at + 1:
-                        i = self._other(chunk[at])
-                    if i is not None:
-                        known = pairs.get((left + 1) << BITS | i)
-                        if known or known is None and self._compatible(left, i):
-                            break
-                stop -= 1
-            if stop > at:
+            while i >= 0:
+                stop = at + size_of[i]
+                if not failed >> stop & 1:
+                    known = pairs.get((left + 1) << BITS | i)
+                    if known or known is None and self._compatible(left, i):
+                        break
+                i = shorter[i]
+            if i >= 0:
                 taken.append(i)
-                if stop == size:
+                if stop == end:
                     return taken
-                starts.append(at)
                 at, left = stop, i
-                stop = at + (longest(chunk[at : at + reach]) or 1)
+                i = longest[at] if at in longest else self._longest(chunk, at)
             else:
-                failed[at] = 1
+                failed |= 1 << at
                 if not taken:
                     raise ValueError("no sequence of compatible pieces")
-                taken.pop()
-                stop, at = at - 1, starts.pop()
+                i = taken.pop()
+                at -= size_of[i]
                 left = taken[-1] if taken else -1
+                i = shorter[i]
+
+    def _longest(self, chunk: str, at: int) -> int:
+        size = self.automaton.longest_prefix(chunk[at : at + self.reach])
+        while size > 1 and chunk[at : at + size] not in self.ids:
+            size -= 1
+        i = self.ids.get(chunk[at : at + size]) if size else None
+        return self._other(chunk[at]) if i is None else i
 
     def _parts(self, chunk: str) -> list[int]:
         """Pieces of a chunk, cut first where no piece holds the two neighbouring characters: no merge crosses there."""
@@ -191,11 +216,15 @@ class Pieces:
             return tuple(found)
         return tuple(chain.from_iterable((i,) if i < self.first_other else [self.bytes[b] for b in self.texts[i].encode()] for i in found))
 
+    def whole(self, unit: str) -> tuple[int, ...]:
+        """Ids of a unit with a mark at its beginning or none."""
+        return self._with_bytes(self._parts(unit))
+
     def _word(self, word: str) -> tuple[int, ...]:
         """Ids of a word with one mark before it."""
         found = self.words.get(word)
         if found is None:
-            found = self.older.get(word) or self._with_bytes(self._parts(MARK + word))
+            found = self.older.get(word) or self.whole(MARK + word)
             if len(word) <= 64:
                 if len(self.words) >= KEPT:
                     self.words, self.older = {}, self.words
@@ -249,28 +278,102 @@ class Pieces:
         return text.removeprefix(" ")
 
 
+class PieceUnits(UnitEncoder):
+    """Ids of texts without runs of spaces, by units.
+
+    A unit begins at a space and between two ASCII characters that no piece holds next to each other.
+    """
+
+    gap = np.zeros(256, bool)
+    lead = b" "
+
+    def __init__(self, pieces: Pieces):
+        super().__init__()
+        self.pieces = pieces
+        apart = np.zeros((256, 256), bool)
+        for a in range(128):
+            for b in range(128):
+                pair = (MARK if a == 32 else chr(a)) + chr(b)
+                apart[a, b] = pair not in pieces.seams
+        apart[:, 32] = True
+        self.apart = apart.ravel()
+
+    def edges(self, data: np.ndarray) -> np.ndarray:
+        edge = np.zeros(len(data), bool)
+        edge[1:] = self.apart[(data[:-1].astype(np.uint16) << 8) | data[1:]]
+        return edge
+
+    def encode_units(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = []
+        for unit in units:
+            text = unit.decode()
+            found.append(self.pieces.whole(MARK + text[1:] if text[0] == " " else text))
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), "<u4", int(counts.sum())), counts
+
+    def encode_rows(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """The ids of each text, the end id last."""
+        plain = [i for i, t in enumerate(texts) if t and self._is_plain(t)]
+        found = [None] * len(texts)
+        for i, ids in zip(plain, self.encode_all(texts[i] for i in plain)):
+            found[i] = np.append(ids, np.uint32(self.pieces.end))
+        return [np.array(self.pieces.encode(t.decode() if t else ""), "<u4") if f is None else f for t, f in zip(texts, found)]
+
+    def _is_plain(self, text: bytes) -> bool:
+        return len(text) < PIECE and text[0] != 32 and text[-1] != 32 and b"  " not in text and MARK.encode() not in text
+
+
 @cache
 def load(path: str) -> Pieces:
     """The model of a path, once per Python worker."""
     return Pieces(path)
 
 
+@cache
+def load_units(path: str) -> PieceUnits:
+    return PieceUnits(load(path))
+
+
+def _encoded(batch: pa.RecordBatch, path: str) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Parts of a batch (doc_id, text), with the ids of their texts."""
+    for at in range(0, batch.num_rows, ROWS):
+        part = batch.slice(at, ROWS)
+        texts = part.column("text").cast(pa.large_binary())
+        yield part, load_units(path).encode_rows([t.as_py() for t in texts])
+
+
+def _as_lists(ids: list[np.ndarray]) -> pa.Array:
+    return pa.array([i.view(np.int32) for i in ids], pa.list_(pa.int32()))
+
+
 def encode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, ids: every whole text encoded. ``path`` is the model's place on every executor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = load(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                ids = [np.array(pieces.encode(t), np.int32) for t in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+            for part, ids in _encoded(batch, path):
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _as_lists(ids)], ["doc_id", "ids"])
 
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
+def encode_and_decode(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, ids and the text decoded from them, in one pass."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decode = load(path).decode
+        for batch in batches:
+            for part, ids in _encoded(batch, path):
+                texts = pa.array([decode(i.tolist()) for i in ids], pa.string())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _as_lists(ids), texts], ["doc_id", "ids", "text"])
+
+    kind = docs.schema[id].dataType.simpleString()
+    rows = docs.select(F.col(id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
+
+
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """doc_id, ids and the decoded text; null ids are an empty text."""
 

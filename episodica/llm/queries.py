@@ -156,7 +156,7 @@ def op4_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
     """Token counts and digests of the ids and of the text decoded from them."""
-    decoded = pieces.decode(pieces.encode(docs, path), path)
+    decoded = pieces.encode_and_decode(docs, path)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -13,7 +13,7 @@ import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from episodica.llm import chat, jaccard, language, mixing, pieces, quality, rollup, topk, toxicity, warc
+from episodica.llm import chat, jaccard, language, mixing, pieces, quality, rollup, topk, toxicity, units, warc
 from episodica.llm.common import NO_LETTER, PIECE, words_of
 from episodica.session import Scratch
 
@@ -223,10 +223,28 @@ def test_pieces_equal_the_library():
     for t in texts:
         ids = theirs.encode(t or "", add_eos=True)
         assert ours.encode(t) == ids and ours.decode(ids) == theirs.decode(ids)
+    by_units = pieces.PieceUnits(pieces.load(MODEL))
+    words = [" ".join("".join(random.choice("aeint.,;:()'\"-0é世\n\tX") for _ in range(random.randrange(1, 12))) for _ in range(random.randrange(1, 9))) for _ in range(2000)]
+    long = [" ".join(words), " ".join(words[:900])[:PIECE].strip(), "x" * (PIECE + 5), "é " * 50]
+    for rows in (texts, words, long):
+        got = by_units.encode_rows([t if t is None else t.encode() for t in rows])
+        for t, ids in zip(rows, got):
+            assert ids.tolist() == theirs.encode(t or "", add_eos=True)
+
+
+def test_pieces_forgotten_units_are_encoded_again(monkeypatch):
+    monkeypatch.setattr(units, "UNITS", 5)
+    monkeypatch.setattr(units, "SLICE", 40)
+    by_units = pieces.PieceUnits(pieces.load(MODEL))
+    texts = [f"some words {i} are new, others not" for i in range(50)]
+    theirs = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    assert [i.tolist() for i in by_units.encode_rows([t.encode() for t in texts])] == theirs.encode(texts, add_eos=True)
 
 
 def test_pieces_over_a_table(spark):
     rows = pieces.decode(pieces.encode(odd(spark), MODEL), MODEL).collect()
+    key = lambda r: (str(r["doc_id"]), r["text"])
+    assert sorted(pieces.encode_and_decode(odd(spark), MODEL).collect(), key=key) == sorted(rows, key=key)
     assert len(rows) == 8 and sorted(len(r["ids"]) for r in rows)[:2] == [1, 1]
     assert pieces.encode(odd(spark).limit(0), MODEL).count() == 0
 

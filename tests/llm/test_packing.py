@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from episodica.llm import packing
+from episodica.llm import packing, units
 from episodica.llm.queries import QUERIES
 from episodica.session import Scratch
 
@@ -67,12 +67,13 @@ def test_slices_and_forgetting_change_nothing(tokenizer, monkeypatch):
     rng = random.Random(4)
     text = " ".join("".join(rng.choice("abcdé1") for _ in range(rng.randrange(1, 90))) for _ in range(3000)) + "  \n" + "y" * 3000
     expected = ids_of(tokenizer, text)[:-1]
-    monkeypatch.setattr(packing, "SLICE", 500)
-    monkeypatch.setattr(packing, "UNITS", 50)
+    monkeypatch.setattr(units, "SLICE", 500)
+    monkeypatch.setattr(units, "UNITS", 50)
+    monkeypatch.setattr(units, "PIECE", 300)
     monkeypatch.setattr(packing, "PIECE", 300)
     got = list(packing.Encoder(PATH).encode_all(iter([b"", text.encode(), b"a", b"", b"a b"])))
     assert got[1].tolist() == expected and [len(g) for g in got[2:]] == [1, 0, 2] and not len(got[0])
-    assert b"".join(packing._slices(text.encode())) == text.encode()
+    assert b"".join(packing.slices(text.encode())) == text.encode()
 
 
 def test_texts_as_long_as_a_run(tokenizer):
