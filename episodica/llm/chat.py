@@ -31,7 +31,10 @@ class Expansion:
 
 
 def escape(text: Column) -> Column:
-    r"""Text without control strings: ``\`` becomes ``\b``, then ``<|`` becomes ``\l|``."""
+    r"""Text without control strings: ``\`` becomes ``\b``, then ``<|`` becomes ``\l|``.
+
+    Texts that are joined afterwards also lose a ``<`` at their end (``\l``), see ``flatten_content``.
+    """
     slashed = F.replace(F.coalesce(text, F.lit("")), F.lit("\\"), F.lit("\\b"))
     return F.replace(slashed, F.lit("<|"), F.lit("\\l|"))
 
@@ -62,7 +65,10 @@ def flatten_content(parts: Column, rule: Expansion = Expansion()) -> Column:
     """struct<body, attachments, tokens> of a content list; attachments are numbered by their place among all parts."""
     parts = F.coalesce(parts, F.array().cast(f"array<{PART}>"))
     kind = lambda p: F.coalesce(p["kind"], F.lit("unknown"))
-    visit = lambda p, i: F.when(kind(p) == "text", escape(p["text"])).otherwise(
+    # A text's last "<" would begin a control string with the parts that follow.
+    open_end = lambda t: F.when(F.endswith(t, F.lit("<")), F.concat(F.substr(t, F.lit(1), F.length(t) - 1), F.lit("\\l"))).otherwise(t)
+    inner = lambda p, i: F.when(i < F.size(parts) - 1, open_end(escape(p["text"]))).otherwise(escape(p["text"]))
+    visit = lambda p, i: F.when(kind(p) == "text", inner(p, i)).otherwise(
         F.concat(F.lit("<|"), F.replace(escape(kind(p)), F.lit("|"), F.lit("/")), F.lit(":"), i.cast("string"), F.lit("|>"))
     )
     record = lambda p, i: F.struct(

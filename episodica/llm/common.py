@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +21,12 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of frames that are no longer referenced."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have, beginning with ``name``; names don't differ by case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -153,7 +154,3 @@ def _long_word(text: np.ndarray, at: int, gap: np.ndarray, values: np.ndarray, p
             break
     heads = [(values[text[at : at + size]] * _UP[:size]).sum(keepdims=True) + np.uint64(size) for size in prefixes]
     return mix(np.concatenate([total, *heads])), end
-
-
-def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
-    return F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)

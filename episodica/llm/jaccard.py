@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from episodica.llm.common import mix, release, words_of
+from episodica.llm.common import mix, unused, words_of
 from episodica.session import Scratch
 
 #: Stands for the count of parts that are shared by more rows than are counted.
@@ -353,7 +353,6 @@ class Joined:
 
 def join(docs: DataFrame, scratch: Scratch, rule: Rule = Rule(), id: str = "doc_id", text: str = "text") -> Joined:
     """Join all documents with themselves at a Jaccard similarity of ``percent`` of ``words``-word shingles."""
-    spark = docs.sparkSession
     members = scratch.save(_documents(docs, rule, id, text), "jaccard-documents")
     clash = F.raise_error(F.lit("two shingle sets have one class key"))
     classes = (
@@ -363,10 +362,8 @@ def join(docs: DataFrame, scratch: Scratch, rule: Rule = Rule(), id: str = "doc_
     )
     classes = scratch.save(classes, "jaccard-classes")
     shared = scratch.save(_shared(_parts(docs, rule, text)), "jaccard-shared")
-    release(spark)
     regions = scratch.save(_regions(shared), "jaccard-regions")
     sets = scratch.save(_sets(docs, classes.join(regions.select("cls").distinct(), "cls", "left_semi"), rule, id, text), "jaccard-sets")
-    release(spark)
 
     # The first round: every region has one pivot.
     best = regions.groupBy("region").agg(F.max(F.struct("central", "cls")).alias("top")).select("region", F.col("top.cls").alias("pivot"))
@@ -437,11 +434,11 @@ def keep_one(docs: DataFrame, scratch: Scratch, rule: Rule = Rule(), id: str = "
     without any id too. Documents without words stay, those that agree in id once.
     """
     joined = join(docs, scratch, rule, id, text).documents
-    name = F.coalesce(F.col(id).cast("string"), F.lit(""))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "cls")).alias("first")
     chosen = joined.filter("n_shingles > 0").groupBy("component").agg(first).select("first.doc_id", "first.cls")
-    chosen = chosen.unionByName(joined.filter("n_shingles = 0").select("doc_id", "cls").distinct()).select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_kept_id"), F.col("cls").alias("_kept_cls")
-    )
-    named = docs.withColumn("_kept_id", name).withColumn("_kept_cls", class_key(rule.words)(F.col(text)))
-    return named.join(chosen, ["_kept_id", "_kept_cls"], "left_semi").dropDuplicates(["_kept_id", "_kept_cls"]).select(*docs.columns)
+    chosen = chosen.unionByName(joined.filter("n_shingles = 0").select("doc_id", "cls").distinct())
+    key, of = (unused(docs, name) for name in ("kept", "class"))
+    chosen = chosen.select(F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "cls").alias(key))
+    named = docs.withColumn(of, class_key(rule.words)(F.col(text)))
+    own = F.struct(F.col(id).isNull().alias("none"), F.coalesce(F.col(id).cast("string"), F.lit("")).alias("id"), F.col(of).alias("cls"))
+    return named.withColumn(key, own).join(chosen, key, "left_semi").dropDuplicates([key]).select(*docs.columns)

@@ -124,6 +124,8 @@ class Rule:
     smoothing: float = 0.2
     #: A language is a candidate in a script that holds at least this share of its letters.
     script_share: float = 0.01
+    #: More languages than this are refused: the model is a table of cells by languages on the driver and in every task.
+    most_langs: int = 256
 
 
 @dataclass(frozen=True)
@@ -218,6 +220,9 @@ def learn(docs: DataFrame, rule: Rule = Rule(), text: str = "text", lang: str =
         yield from flush()
 
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    named = rows.select("lang").distinct().limit(rule.most_langs + 1).count()
+    if named > rule.most_langs:
+        raise ValueError(f"{lang} has more than {rule.most_langs} values")
     counts = rows.mapInArrow(count, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).toPandas()
     langs = tuple(sorted(counts["lang"].unique()))
     table = np.zeros(((1 << BITS) + OTHER + 1, len(langs)))

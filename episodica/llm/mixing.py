@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from episodica.llm.common import WORD
+from episodica.llm.common import WORD, unused
 from episodica.session import Scratch
 
 # Width of the knapsack table, in words.
@@ -148,20 +148,20 @@ def apply(docs: DataFrame, scratch: Scratch, rule: Mix = Mix(), id: str = "doc_i
     Where it takes one more copy of some of them only, they are numbered, and the first ones get it.
     """
     mixed = mix(docs, scratch, rule, id, text, source)
+    own_id, own_source, own_size, times_, more_, words, copy = (unused(docs, f"mix_{n}") for n in ("id", "source", "size", "times", "more", "words", "copy"))
     least = F.min("repeats")
     times = scratch.save(
-        mixed.groupBy(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("size").alias("_mix_size"))
-        .agg(least.alias("_mix_times"), (F.sum("repeats") - least * F.count("*")).alias("_mix_more")).filter("_mix_times > 0 or _mix_more > 0"),
+        mixed.groupBy(F.col("doc_id").alias(own_id), F.col("source").alias(own_source), F.col("size").alias(own_size))
+        .agg(least.alias(times_), (F.sum("repeats") - least * F.count("*")).alias(more_)).filter((F.col(times_) > 0) | (F.col(more_) > 0)),
         "mix-times",
     )
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    same = F.col(id).eqNullSafe(F.col("_mix_id")) & F.col(source).eqNullSafe(F.col("_mix_source")) & (F.col("_mix_words") == F.col("_mix_size"))
-    sized = docs.withColumn("_mix_words", size)
-    repeated = sized.join(times.filter("_mix_more = 0"), same).select(*docs.columns, "_mix_times")
-    uneven = times.filter("_mix_more > 0")
+    same = F.col(id).eqNullSafe(F.col(own_id)) & F.col(source).eqNullSafe(F.col(own_source)) & (F.col(words) == F.col(own_size))
+    sized = docs.withColumn(words, size)
+    repeated = sized.join(times.filter(F.col(more_) == 0), same).select(*docs.columns, times_)
+    uneven = times.filter(F.col(more_) > 0)
     if not uneven.isEmpty():  # at most one id of each source and size, and only if it is null or repeated
-        number = F.row_number().over(Window.partitionBy("_mix_id", "_mix_source", "_mix_size").orderBy(F.xxhash64(text)))
-        more = F.when(number <= F.col("_mix_more"), 1).otherwise(0)
-        some = sized.join(uneven, same).withColumn("_mix_times", F.col("_mix_times") + more).filter("_mix_times > 0")
-        repeated = repeated.unionByName(some.select(*docs.columns, "_mix_times"))
-    return repeated.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_times").cast("int")))).select(*docs.columns)
+        number = F.row_number().over(Window.partitionBy(own_id, own_source, own_size).orderBy(F.xxhash64(text)))
+        some = sized.join(uneven, same).withColumn(times_, F.col(times_) + F.when(number <= F.col(more_), 1).otherwise(0)).filter(F.col(times_) > 0)
+        repeated = repeated.unionByName(some.select(*docs.columns, times_))
+    return repeated.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times_).cast("int")))).select(*docs.columns)

@@ -98,18 +98,18 @@ LETTER_WORD = r"[^\x20\x09-\x0D]*\p{L}[^\x20\x09-\x0D]*"
             len(regexp_extract_all(coalesce(text, ''), '{LETTER_WORD}')) AS letter_words
         FROM documents
     ), versions AS (
-        SELECT source, lang, 'words-1' AS tokenizer, all_words AS tokens FROM counted WHERE all_words >= 20
-        UNION ALL SELECT source, lang, 'words-2', letter_words FROM counted WHERE all_words >= 20
+        SELECT source, lang, 'words-1' AS tokenizer, all_words AS tokens FROM counted
+        UNION ALL SELECT source, lang, 'words-2', letter_words FROM counted
     )
     SELECT source, lang, tokenizer, count(*) AS docs, sum(tokens)::BIGINT AS tokens
     FROM versions GROUP BY source, lang, tokenizer
     """
 )
 def op5_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    """Token totals of two tokenizer versions, kept by four batches of changes, one of them sent twice.
+    """Token totals of all documents under two tokenizer versions, kept by five batches of changes, one of them sent twice.
 
     The documents arrive with their counts under both versions, the second by mistake with the first one's counts; the
-    next batch revises those, and the last deletes the documents of fewer than 20 words.
+    next batch revises those, another deletes the documents of fewer than 20 words, and the last one adds them again.
     """
     scratch = Scratch(spark)
     text = F.coalesce("text", F.lit(""))
@@ -138,6 +138,8 @@ def op5_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
     totals.compact()
     gone = change("delete", "words-1", first, none).filter(short).unionByName(change("delete", "words-2", second, none).filter(short))
     totals.commit("too short", gone)
+    back = change("insert", "words-1", none, first).filter(short).unionByName(change("insert", "words-2", none, second).filter(short))
+    totals.commit("short again", back)
     return totals.totals()
 
 

@@ -1,9 +1,11 @@
 """Token counts as delta-maintained rollups.
 
 Totals by source, language and tokenizer version are sums of signed deltas, so inserts, deletes and revised counts
-never need the documents again. A batch of changes commits under its id exactly once: its deltas become visible with
-the marker that Spark's writer leaves last, a second commit of the same id does nothing, and a commit that broke off is
-written anew.
+never need the documents again. A batch of changes commits under its id exactly once: its deltas are written aside and
+then renamed to the batch's folder, which fails where that exists. So of two writers of one id one commits, and the
+other, like everyone who sends the id again, is told so if its deltas are the same; other deltas under a committed id
+raise. A commit that broke off leaves no batch. The folder must be in a file system that renames folders in one step and
+doesn't replace one (HDFS, a local disk), which object stores don't.
 
 Edge cases: null counts are 0; null source, language or version are groups of their own; repeated rows in a batch count
 each; an empty batch commits and changes nothing; totals whose documents and tokens are all back at 0 are left out; an
@@ -14,7 +16,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,13 +50,38 @@ class TokenRollup:
     def committed(self, batch_id: str) -> bool:
         return exists(self.spark, f"{self._batch(batch_id)}/_SUCCESS")
 
-    def commit(self, batch_id: str, changes: DataFrame) -> bool:
-        """Add a batch of changes; False if that batch is there already."""
-        if self.committed(batch_id):
+    def _digest(self, path: str) -> tuple:
+        """What the deltas in a folder add up to, whatever their order and files."""
+        rows = self.spark.read.schema(DELTA).parquet(path)
+        hashed = [F.sum(F.xxhash64(F.lit(seed), *rows.columns).cast("decimal(38,0)")) for seed in (1, 2)]
+        return tuple(rows.agg(F.count("*"), *hashed).first())
+
+    def _rename(self, source: str, target: str) -> bool:
+        """Rename a folder unless the target exists."""
+        fs = self.spark._jvm.org.apache.hadoop.fs
+        old, new = fs.Path(source), fs.Path(target)
+        none = self.spark.sparkContext._gateway.new_array(fs.Options.Rename, 0)
+        try:
+            fs.FileContext.getFileContext(new.toUri(), self.spark._jsc.hadoopConfiguration()).rename(old, new, none)
+        except Py4JJavaError:
+            if not exists(self.spark, target):
+                raise
             return False
-        deltas(changes).write.mode("overwrite").parquet(self._batch(batch_id))
         return True
 
+    def commit(self, batch_id: str, changes: DataFrame) -> bool:
+        """Add a batch of changes; False if the same deltas are committed under that id already."""
+        aside, batch = f"{self.path}/aside-{uuid.uuid4().hex}", self._batch(batch_id)
+        deltas(changes).write.parquet(aside)
+        if not self.committed(batch_id) and self._rename(aside, batch):
+            return True
+        same = self._digest(aside) == self._digest(batch)
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(aside)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        if not same:
+            raise ValueError(f"batch {batch_id} is committed with other changes")
+        return False
+
     def _complete(self, prefix: str) -> list[str]:
         """Folders of committed batches or bases, by name."""
         jvm = self.spark._jvm.org.apache.hadoop.fs

@@ -4,7 +4,7 @@ The writer deduplicates payloads: of equal ones the row with the largest id is a
 refer to it. The reader decodes frame by frame and checks versions, headers, lengths and digests; a damaged archive
 raises.
 
-Edge cases: null payload is empty; a null id is written as an empty name and read back as null, and never is the largest
+Edge cases: an id column that isn't of whole numbers is refused; null payload is empty; a null id is written as an empty name and read back as null, and never is the largest
 unless all ids are null; rows that repeat an id and payload are all responses if that id is the largest; an empty table
 gives no archive; archive names are unique per task attempt and only those of finished attempts are read.
 """
@@ -22,6 +22,7 @@ import zstandard
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from episodica.session import Scratch
 
@@ -214,6 +215,8 @@ def archive(pages: DataFrame, scratch: Scratch, id: str = "page_id", url: str =
     join that tells each page its response. A payload of any number of copies is one row per map task there.
     """
     spark = pages.sparkSession
+    if not isinstance(pages.schema[id].dataType, T.IntegralType):
+        raise TypeError(f"{id} is {pages.schema[id].dataType.simpleString()}; record ids are whole numbers")
     rows = pages.select(
         F.col(id).alias("id"), F.col(url).alias("url"), F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8").alias("payload")
     ).withColumn("key", F.concat(F.sha1("payload"), F.lit("-"), F.length("payload").cast("string")))

@@ -14,11 +14,11 @@ def test_equals_sql(spark, name):
     with duckdb.connect() as db:
         for table in ("documents", "conversations"):
             db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
-        expected = db.execute(SQL[name]).df()
-    got = QUERIES[name](spark, FOLDER).toPandas()[list(expected.columns)]
-    order = list(expected.columns)
-    as_rows = lambda df: sorted(map(tuple, df[order].astype(str).to_numpy().tolist()))
-    assert as_rows(got) == as_rows(expected)
+        expected = db.execute(SQL[name]).to_arrow_table()
+    order = expected.column_names
+    as_rows = lambda table: sorted(zip(*(table.column(c).to_pylist() for c in order)), key=str)
+    got = QUERIES[name](spark, FOLDER).toArrow()
+    assert sorted(got.column_names) == sorted(order) and as_rows(got) == as_rows(expected)
 
 
 @pytest.mark.parametrize("name", ["op2_mix_sources", "op3_quality", "op6_pieces", "op7_jaccard_join", "op8_language", "op10_toxicity"])
