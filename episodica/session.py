@@ -47,19 +47,31 @@ def _local_scratch() -> str:
 
 
 class Scratch:
-    """Intermediate tables of one job, written under the shared folder so that a lost executor costs only its tasks."""
+    """Intermediate tables of one job, written under the shared folder so that a lost executor costs only its tasks.
+
+    What ``clear`` has not deleted before goes when the driver's JVM ends, as lazy results may read it until then.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.path = f"{scratch_root(spark)}/episodica-{uuid.uuid4().hex}"
+        self._marked = False
+
+    def _folder(self):
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` and read it back: cuts the lineage and gives later joins its real size."""
         target = f"{self.path}/{name}.parquet"
         df.write.parquet(target)
+        if not self._marked:
+            files, folder = self._folder()
+            self._marked = files.deleteOnExit(folder)
         return self.spark.read.schema(df.schema).parquet(target)
 
     def clear(self) -> None:
         """Delete what was saved; results that still read from it must have been written elsewhere."""
-        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        files, folder = self._folder()
+        files.delete(folder, True)
+        self._marked = False

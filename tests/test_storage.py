@@ -5,6 +5,7 @@ import pathlib
 import subprocess
 import sys
 import threading
+import time
 from types import SimpleNamespace
 
 import pytest
@@ -162,6 +163,23 @@ def test_scratch(spark):
         spark.read.parquet(f"{scratch.path}/n.parquet")
 
 
+def test_scratch_goes_with_the_session(tmp_path):
+    script = """
+import sys
+from episodica.session import Scratch, build_session
+spark = build_session("scratch", "local[1]", **{"spark.checkpoint.dir": sys.argv[1]})
+kept = Scratch(spark).save(spark.range(5), "n")
+assert kept.count() == 5
+"""
+    root = pathlib.Path(__file__).parent.parent
+    subprocess.run([sys.executable, "-c", script, str(tmp_path)], cwd=root, check=True)
+    for _ in range(60):  # the JVM ends a moment after the script
+        if not list(tmp_path.glob("episodica-*")):
+            return
+        time.sleep(0.5)
+    raise AssertionError(list(tmp_path.iterdir()))
+
+
 def test_snapshot_is_replaced_as_a_whole(spark, tmp_path):
     first = write_snapshot(spark.range(3).toDF("n"), "snap_test", "built_at", location=str(tmp_path))
     assert first.columns == ["n", "built_at"] and first.count() == 3
