@@ -261,6 +261,17 @@ def _measure(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return rows.select("a", "b", "both", (F.size("sa") + F.size("sb") - F.col("both")).alias("either"))
 
 
+def _measure_by_differences(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """As _measure, for pairs (pivot, a, b) whose members' differences from the pivot are known: those are short."""
+    once = pairs.groupBy("a", "b").agg(F.min("pivot").alias("pivot"))
+    left = rows.select("pivot", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("differs").alias("da"))
+    right = rows.select("pivot", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("differs").alias("db"))
+    apart = F.size("da") + F.size("db") - 2 * F.size(F.array_intersect("da", "db"))
+    both = ((F.col("na") + F.col("nb") - apart) / 2).cast("long")
+    met = once.join(left, ["pivot", "a"]).join(right, ["pivot", "b"]).withColumn("both", both)
+    return met.select("a", "b", "both", (F.col("na") + F.col("nb") - F.col("both")).alias("either"))
+
+
 def _linked(rule: Rule) -> Column:
     return F.col("both") * 100 >= F.col("either") * rule.percent
 
@@ -287,14 +298,17 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 
 def _open(regions: DataFrame, labels: DataFrame, *kept: str) -> DataFrame:
-    """Members of regions that hold several components, with their component."""
+    """Members of regions that hold several components, with their component; ``reach`` is the largest known ``far``."""
     named = regions.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    spread = named.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"))
-    return named.join(spread.filter("low != high").select("region", "members"), "region").select("region", "cls", "central", "component", "members", *kept)
+    reach = F.max("far") if "far" in regions.columns else F.lit(None).cast("double")
+    spread = named.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), reach.alias("reach"))
+    opened = named.join(spread.filter("low != high").select("region", "members", "reach"), "region")
+    return opened.select("region", "cls", "central", "component", "members", "reach", *kept)
 
 
-def _candidates(group: DataFrame, labels: DataFrame, sets: DataFrame, rule: Rule, scratch: Scratch, name: str) -> DataFrame:
-    """a, b: pairs of ``group`` (pivot, cls, component, far) to be measured; they hold links that connect what is linked.
+def _candidates(group: DataFrame, labels: DataFrame, sets: DataFrame, rule: Rule, scratch: Scratch, name: str) -> tuple[DataFrame, DataFrame]:
+    """Pairs (pivot, a, b) of ``group`` (pivot, cls, component) to be measured; they hold links that connect what is linked.
+    And the members' differences from their pivot.
 
     With q = 100 + percent and a set's excess e = q * differences - (100 - percent) * size, two sets are linked if and
     only if 2 q * (common differences) >= e + e'. Where the sum isn't above 0, all pairs are links, and the member with the
@@ -305,9 +319,11 @@ def _candidates(group: DataFrame, labels: DataFrame, sets: DataFrame, rule: Rule
     q = 100 + rule.percent
     centre = sets.select(F.col("cls").alias("pivot"), F.col("shingles").alias("centre"))
     home = labels.select(F.col("cls").alias("pivot"), F.col("component").alias("home"))
-    differs = F.concat(F.array_except("shingles", "centre"), F.array_except("centre", "shingles"))
+    own, lacks = F.array_except("shingles", "centre"), F.array_except("centre", "shingles")
+    differs = F.concat(own, lacks)
     rows = group.distinct().join(sets, "cls").join(centre, "pivot").join(home, "pivot", "left").select(
-        "pivot", "cls", "component", "far", (F.col("component") == F.coalesce("home", "pivot")).alias("inside"),
+        "pivot", "cls", "component", (F.size(differs) / (F.size("shingles") + F.size(lacks))).alias("far"),
+        (F.col("component") == F.coalesce("home", "pivot")).alias("inside"), F.size("shingles").alias("n"),
         (F.size(differs) * q - F.size("shingles") * (100 - rule.percent)).alias("excess"), differs.alias("differs"),
     )
     rows = scratch.save(rows, f"{name}-differences")
@@ -341,8 +357,10 @@ def _candidates(group: DataFrame, labels: DataFrame, sets: DataFrame, rule: Rule
     outside = ~F.col("a_inside") & (F.col("b_place") <= F.col("b_to_out")) & (F.col("a_cls") < F.col("b_cls")) & (F.col("a_component") != F.col("b_component"))
     window = F.abs(F.col("a_far") - F.col("b_far")) <= rule.radius + 1e-9
     met = left.join(right, ["pivot", "part"]).filter((across | outside) & window)
-    pairs = sure.select(F.col("cls").alias("a"), F.col("low.cls").alias("b")).unionByName(met.select(F.col("a_cls").alias("a"), F.col("b_cls").alias("b")))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    pairs = sure.select("pivot", F.col("cls").alias("a"), F.col("low.cls").alias("b")).unionByName(
+        met.select("pivot", F.col("a_cls").alias("a"), F.col("b_cls").alias("b"))
+    )
+    return pairs.select("pivot", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), rows
 
 
 @dataclass(frozen=True)
@@ -365,43 +383,51 @@ def join(docs: DataFrame, scratch: Scratch, rule: Rule = Rule(), id: str = "doc_
     regions = scratch.save(_regions(shared), "jaccard-regions")
     sets = scratch.save(_sets(docs, classes.join(regions.select("cls").distinct(), "cls", "left_semi"), rule, id, text), "jaccard-sets")
 
-    # The first round: every region has one pivot.
-    best = regions.groupBy("region").agg(F.max(F.struct("central", "cls")).alias("top")).select("region", F.col("top.cls").alias("pivot"))
-    starred = regions.join(best, "region")
-    pairs = starred.filter("cls != pivot").select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct()
-    measured = scratch.save(_measure(pairs, sets), "jaccard-measured-0")
+    # The first round: every region has one pivot, and every class meets that of its largest region.
+    best = regions.groupBy("region").agg(F.max(F.struct("central", "cls")).alias("top"), F.count("*").alias("of")).select("region", F.col("top.cls").alias("pivot"), "of")
+    starred = scratch.save(regions.join(best, "region"), "jaccard-starred")
+    largest = starred.filter("cls != pivot").groupBy("cls").agg(F.max(F.struct("of", "pivot")).alias("m"))
+    met = scratch.save(_measure(largest.select(F.col("cls").alias("a"), F.col("m.pivot").alias("b")), sets), "jaccard-measured-first")
+    links = met.filter(_linked(rule))
+    labels = components(links, scratch, "jaccard-components-first")
+    # The second: in regions that still hold several components, the pivot meets the members of the others.
+    opened = scratch.save(_open(starred.select("region", "cls", "central", "pivot"), labels, "pivot"), "jaccard-open-first")
+    home = labels.select(F.col("cls").alias("pivot"), F.col("component").alias("home"))
+    apart = opened.filter("cls != pivot").join(home, "pivot", "left").filter(F.col("component") != F.coalesce("home", "pivot"))
+    pairs = apart.select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct().join(met, ["a", "b"], "left_anti")
+    measured = scratch.save(met.unionByName(_measure(pairs, sets)), "jaccard-measured-0")
     links = measured.filter(_linked(rule))
     labels = components(links, scratch, "jaccard-components-0")
     distance = 1 - F.col("both") / F.col("either")
     near = measured.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), distance.alias("far"))
-    rest = starred.filter("cls != pivot").join(near, ["cls", "pivot"]).select("region", "cls", "central", "far", "pivot")
+    # Pivots are done, they met the whole region. Where all others are within 2 r of the pivot, no window can divide.
+    rest = opened.filter("cls != pivot").join(near, ["cls", "pivot"], "left").select("region", "cls", "central", "pivot", "far")
+    narrow = F.coalesce(F.col("reach"), F.lit(0.0)) <= 2 * rule.radius + 1e-9
     level = 0
-    todo = scratch.save(_open(rest, labels, "far", "pivot"), "jaccard-open-0")
-    stuck = F.lit(False)
+    todo = scratch.save(_open(rest, labels, "pivot").withColumn("narrow", narrow), "jaccard-open-0")
     while not todo.isEmpty():
         level += 1
-        small = (F.col("members") <= rule.leaf) | stuck
-        group = todo.filter(small).select("pivot", "cls", "component", "far")
-        leaves = _candidates(group, labels, sets, rule, scratch, f"jaccard-leaves-{level}")
+        small = (F.col("members") <= rule.leaf) | F.col("narrow")
+        leaf_pairs, differences = _candidates(todo.filter(small).select("pivot", "cls", "component"), labels, sets, rule, scratch, f"jaccard-leaves-{level}")
         large = todo.filter(~small).drop("pivot").withColumn("slot", F.pmod(F.xxhash64("cls"), F.lit(rule.pivots)))
         tops = large.groupBy("region", "slot").agg(F.max(F.struct("central", "cls")).alias("top")).select("region", F.col("top.cls").alias("pivot"))
         tops = scratch.save(tops, f"jaccard-pivots-{level}")
         to_pivots = large.join(tops, "region").filter("cls != pivot")
-        pairs = leaves.unionByName(to_pivots.select(F.col("cls").alias("a"), F.col("pivot").alias("b"))).distinct()
-        measured = scratch.save(_measure(pairs, sets), f"jaccard-measured-{level}")
+        pairs = to_pivots.select(F.col("cls").alias("a"), F.col("pivot").alias("b")).distinct()
+        measured = scratch.save(_measure(pairs, sets).unionByName(_measure_by_differences(leaf_pairs, differences)), f"jaccard-measured-{level}")
         links = scratch.save(links.select("a", "b", "both", "either").unionByName(measured.filter(_linked(rule))), f"jaccard-links-{level}")
         labels = components(links, scratch, f"jaccard-components-{level}")
         # Voronoi regions of the pivots, with copies in the windows; pivots are done, they met the whole region.
-        near = measured.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), distance.alias("gap"))
+        near = measured.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), distance.alias("gap")).dropDuplicates(["cls", "pivot"])
         plain = large.select("region", "cls", "central", "members").join(tops.withColumnRenamed("pivot", "cls"), ["region", "cls"], "left_anti")
         all_gaps = plain.join(tops, "region").join(near, ["cls", "pivot"])
-        home = all_gaps.groupBy("region", "cls").agg(F.min("gap").alias("home"))
+        closest = all_gaps.groupBy("region", "cls").agg(F.min("gap").alias("home"))
         placed = (
-            all_gaps.join(home, ["region", "cls"]).filter(F.col("gap") <= F.col("home") + 2 * rule.radius + 1e-9)
+            all_gaps.join(closest, ["region", "cls"]).filter(F.col("gap") <= F.col("home") + 2 * rule.radius + 1e-9)
             .select(F.xxhash64("region", "pivot").alias("region"), "cls", "central", F.col("gap").alias("far"), "pivot", F.col("members").alias("before"))
         )
-        todo = scratch.save(_open(placed, labels, "far", "pivot", "before"), f"jaccard-open-{level}")
         stuck = F.col("members") * 10 > F.col("before") * 9
+        todo = scratch.save(_open(placed, labels, "pivot", "before").withColumn("narrow", narrow | stuck), f"jaccard-open-{level}")
 
     named = classes.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     smallest = named.groupBy("component").agg(F.min("doc").alias("component_id"))

@@ -434,8 +434,11 @@ def test_jaccard_candidates_connect_what_is_linked(spark, percent):
     group = spark.createDataFrame(group, "pivot long, cls long, component long, far double")
     labels = spark.createDataFrame(list(home.items()), "cls long, component long")
     table = spark.createDataFrame([(c, sorted(x)) for c, x in sets.items()], "cls long, shingles array<long>")
-    found = jaccard._candidates(group, labels, table, rule, Scratch(spark), "candidates").distinct().collect()
+    asked, differences = jaccard._candidates(group.drop("far"), labels, table, rule, Scratch(spark), "candidates")
+    found = asked.select("a", "b").distinct().collect()
     assert len(found) < pairs
+    by_differences = jaccard._measure_by_differences(asked, differences).collect()
+    assert sorted((r.a, r.b, r.both, r.either) for r in by_differences) == sorted((a, b, len(sets[a] & sets[b]), len(sets[a] | sets[b])) for a, b in found)
     links = [(a, b) for a, b in found if linked(sets[a], sets[b])]
     for want in expected:
         assert merged({c: home[c] for c in want}, [(a, b) for a, b in links if a in want]) == want
