@@ -61,12 +61,30 @@ def targets(sizes: DataFrame, rule: Mix) -> DataFrame:
 
 
 def fit_counts(lengths: list[int], counts: list[int], budget: int) -> list[int]:
-    """How many of each length to take so that the sum comes closest to ``budget`` from below."""
+    """How many of each length to take so that the sum comes closest to ``budget`` from below.
+
+    All lengths first give their proportional share, and a knapsack makes up the rest. Where that misses the budget, the
+    shares give back an eighth, a half and all of it (at most TABLE words) to the knapsack; so for up to TABLE words the
+    result is the best that any choice gives.
+    """
     total = sum(n * c for n, c in zip(lengths, counts))
     budget = min(budget, total)
     if budget <= 0:
         return [0] * len(lengths)
-    taken = [c * budget // total for c in counts]
+    best, least = [], budget + 1
+    for shared in (budget, budget - budget // 8, budget // 2, 0):
+        shared = max(shared, budget - TABLE)
+        taken = _fit(lengths, counts, budget, [c * shared // total for c in counts])
+        missed = budget - sum(n * t for n, t in zip(lengths, taken))
+        if missed < least:
+            best, least = taken, missed
+        if not missed:
+            break
+    return best
+
+
+def _fit(lengths: list[int], counts: list[int], budget: int, taken: list[int]) -> list[int]:
+    """``taken`` and what a bounded knapsack adds to it."""
     rest = budget - sum(n * t for n, t in zip(lengths, taken))
     order = sorted(range(len(lengths)), key=lambda i: -lengths[i])
     for i in order:  # down to the width of the table

@@ -96,7 +96,7 @@ def test_chat_parts_masks_and_reading_back(spark):
 
 def test_knapsack_is_exact():
     random.seed(2)
-    for _ in range(200):
+    for _ in range(1500):
         lengths = random.sample(range(1, 40), random.randrange(1, 7))
         counts = [random.randrange(1, 5) for _ in lengths]
         budget = random.randrange(0, 120)
@@ -105,10 +105,16 @@ def test_knapsack_is_exact():
         for n, c in zip(lengths, counts):
             reach = {s + n * k for s in reach for k in range(c + 1)}
         got = sum(n * t for n, t in zip(lengths, taken))
-        assert all(0 <= t <= c for t, c in zip(taken, counts)) and got <= budget
-        total = sum(n * c for n, c in zip(lengths, counts))
-        if 3 * budget < total:  # what proportional shares leave can still be fitted
-            assert budget - got <= budget - max(s for s in reach if s <= budget) + max(lengths)
+        assert all(0 <= t <= c for t, c in zip(taken, counts))
+        assert got == max(s for s in reach if s <= budget)
+
+
+def test_shares_stay_proportional_where_the_budget_is_met():
+    lengths, counts = list(range(1, 60)), [40] * 59
+    total = sum(n * c for n, c in zip(lengths, counts))
+    taken = mixing.fit_counts(lengths, counts, total // 2)
+    assert sum(n * t for n, t in zip(lengths, taken)) == total // 2
+    assert sum(18 <= t <= 22 for t in taken) >= 55
 
 
 def test_mix_meets_targets_and_agrees_with_itself(spark):
