@@ -187,6 +187,25 @@ def test_quality_counts_and_verdicts(spark):
     assert quality.judge(odd(spark), Scratch(spark)).count() == 8
 
 
+def test_bounds_drop_most_pairs_of_clustered_vectors():
+    """From coarse to fine, and the more with a floor from elsewhere; none of a query's best pairs is dropped."""
+    rng = np.random.default_rng(3)
+    centres = np.repeat(rng.normal(0, 40, (50, 8)), 8, axis=1) + rng.normal(0, 12, (50, 64))
+    vectors = np.rint(np.repeat(centres, 60, axis=0) + rng.normal(0, 4, (3000, 64))).astype(np.int64)
+    ids, asked = np.arange(3000), np.arange(0, 3000, 40)
+    scores = vectors[asked] @ vectors.T
+    scores[np.arange(len(asked)), asked] = -(1 << 60)
+    best = -np.sort(-scores, axis=1)[:, :20]
+    shares = []
+    for floor in (None, best[:, -1].astype(float)):
+        left = []
+        q, x, found = topk.best_pairs(vectors[asked], asked, vectors, ids, 20, floor, left)
+        assert (found.reshape(-1, 20) == best).all() and (scores[q, x] == found).all()
+        shares.append([n / (len(asked) * 2999) for n in left])
+    assert all(a >= b for share in shares for a, b in zip(share, share[1:]))
+    assert shares[0][-1] < 0.1 and shares[1][-1] < 0.05 and shares[1][0] <= shares[0][0]
+
+
 def test_top_k_against_brute_force(spark):
     random.seed(4)
     rows = [(i, [random.gauss(0, 0.2) for _ in range(random.choice([10, 10, 7]))]) for i in range(300)]
