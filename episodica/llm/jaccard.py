@@ -298,9 +298,9 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
 
 
 def _open(regions: DataFrame, labels: DataFrame, *kept: str) -> DataFrame:
-    """Members of regions that hold several components, with their component; ``reach`` is the largest known ``far``."""
+    """Members of regions that hold several components, with their component; ``reach`` is the mean of the known ``far``."""
     named = regions.join(labels, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    reach = F.max("far") if "far" in regions.columns else F.lit(None).cast("double")
+    reach = F.avg("far") if "far" in regions.columns else F.lit(None).cast("double")
     spread = named.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("members"), reach.alias("reach"))
     opened = named.join(spread.filter("low != high").select("region", "members", "reach"), "region")
     return opened.select("region", "cls", "central", "component", "members", "reach", *kept)
@@ -400,7 +400,8 @@ def join(docs: DataFrame, scratch: Scratch, rule: Rule = Rule(), id: str = "doc_
     labels = components(links, scratch, "jaccard-components-0")
     distance = 1 - F.col("both") / F.col("either")
     near = measured.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), distance.alias("far"))
-    # Pivots are done, they met the whole region. Where all others are within 2 r of the pivot, no window can divide.
+    # Pivots are done, they met the whole region. Where others are within 2 r of the pivot on average, windows of 2 r take
+    # most of them into every region and can't divide it.
     rest = opened.filter("cls != pivot").join(near, ["cls", "pivot"], "left").select("region", "cls", "central", "pivot", "far")
     narrow = F.coalesce(F.col("reach"), F.lit(0.0)) <= 2 * rule.radius + 1e-9
     level = 0
