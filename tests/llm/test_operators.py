@@ -469,6 +469,34 @@ def test_jaccard_candidates_connect_what_is_linked(spark, percent):
         assert merged({c: home[c] for c in want}, [(a, b) for a, b in links if a in want]) == want
 
 
+def test_jaccard_regions_wider_than_their_windows_are_divided(spark):
+    """Texts that share parts and yet lie far apart: pivots get Voronoi regions, and no link is lost between them."""
+    r = random.Random(9)
+    rows = []
+    for family in range(4):
+        shared = [f"s{family}x{i}" for i in range(90)]
+        for member in range(60):
+            own = [f"f{family}m{member}x{i}" for i in range(r.randrange(14, 20))]
+            rows.append((len(rows), " ".join(shared + own)))
+            if member % 3 == 0:
+                own[r.randrange(len(own))] = f"changed{len(rows)}"
+                rows.append((len(rows), " ".join(shared + own)))
+
+    class Watched(Scratch):
+        seen = {}
+
+        def save(self, df, name):
+            saved = super().save(df, name)
+            self.seen[name] = saved.count()
+            return saved
+
+    rule = jaccard.Rule(words=1, percent=90, leaf=3, pivots=4)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in jaccard.join(frame, Watched(spark), rule).documents.collect()}
+    assert Watched.seen["jaccard-pivots-1"] > 0
+    assert got == components_by_hand(rows, 1, 90)[0]
+
+
 def test_jaccard_join_of_odd_rows(spark):
     got = [(r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard.join(odd(spark), Scratch(spark)).documents.collect()]
     assert sorted(got, key=str) == sorted([(1, 0, 1), (2, 0, 2), (3, 0, 3), (4, 1, 4), (4, 1, 4), (5, 977, 5), (None, 1, None), (6, 1, 6)], key=str)
