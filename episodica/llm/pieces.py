@@ -33,10 +33,11 @@ from episodica.llm.units import UnitEncoder
 
 MARK = "▁"
 CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
-#: Words that a Python worker keeps for texts with runs of marks before the older half goes, and checked neighbours
-#: before they start afresh.
-KEPT = 100_000
-PAIRS = 600_000
+#: What a Python worker keeps: units; words for texts with runs of marks before the older half goes; checked neighbours
+#: before they start afresh. They stay for the worker's life, beside an executor's heap, so they are small.
+UNITS = 3 << 17
+KEPT = 1 << 14
+PAIRS = 1 << 18
 #: Texts of up to so many characters are merged without a heap.
 SHORT = 24
 ROWS = 256
@@ -286,6 +287,7 @@ class PieceUnits(UnitEncoder):
 
     gap = np.zeros(256, bool)
     lead = b" "
+    most = UNITS
 
     def __init__(self, pieces: Pieces):
         super().__init__()

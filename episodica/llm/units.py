@@ -1,7 +1,8 @@
 """Encoding texts by units: what a tokenizer makes of a text is what it makes of its units, one after another.
 
 A tokenizer says where units end and how one is encoded; here each unit is encoded once and remembered under a 64-bit
-hash, so a text costs a few array operations, however long the tokenizer takes for a word.
+hash, so a text costs a few array operations, however long the tokenizer takes for a word. What a worker remembers is
+bounded in units and in ids; beyond that, only units that were met again stay.
 """
 
 from __future__ import annotations
@@ -12,9 +13,10 @@ import numpy as np
 
 from episodica.llm.common import BYTE, PIECE, hash_words
 
-#: Bytes encoded at a time; units remembered before all are forgotten.
+#: Bytes encoded at a time; units remembered before some are forgotten; ids remembered, on average for each of them.
 SLICE = 1 << 20
 UNITS = 1 << 20
+IDS_PER_UNIT = 8
 
 
 class UnitEncoder:
@@ -24,13 +26,35 @@ class UnitEncoder:
     gap: np.ndarray
     #: What stands before every text.
     lead = b""
+    #: Units that a worker remembers at most.
+    most = UNITS
 
     def __init__(self):
         self._forget()
 
     def _forget(self) -> None:
-        self.hashes, self.begins, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.hashes, self.begins, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.ids = np.zeros(0, "<u4")
+        self.met = np.zeros(0, bool)  # again, after they were learned or last kept
+
+    @property
+    def room(self) -> int:
+        return min(self.most, UNITS)
+
+    def _is_full(self) -> bool:
+        return len(self.hashes) > self.room or len(self.ids) > self.room * IDS_PER_UNIT
+
+    def _shrink(self) -> None:
+        """Keep the units that were met again; none, if these alone take more than half of the room."""
+        counts = self.counts[self.met]
+        through = np.cumsum(counts, dtype=np.int64)
+        if not len(counts) or len(counts) > self.room // 2 or through[-1] > self.room * IDS_PER_UNIT // 2:
+            self._forget()
+            return
+        begins = through - counts
+        self.ids = self.ids[np.repeat(self.begins[self.met] - begins, counts) + np.arange(through[-1])]
+        self.hashes, self.begins, self.counts = self.hashes[self.met], begins, counts
+        self.met = np.zeros(len(counts), bool)
 
     def edges(self, data: np.ndarray) -> np.ndarray:
         """Where a unit begins though no gap is before it."""
@@ -63,6 +87,7 @@ class UnitEncoder:
         self.hashes = np.insert(self.hashes, at, hashes)
         self.begins = np.insert(self.begins, at, np.cumsum(counts) - counts + len(self.ids))
         self.counts = np.insert(self.counts, at, counts)
+        self.met = np.insert(self.met, at, False)
         self.ids = np.concatenate([self.ids, ids])
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
@@ -86,6 +111,7 @@ class UnitEncoder:
         known = np.zeros(len(distinct), bool)
         inside = at < len(self.hashes)
         known[inside] = self.hashes[at[inside]] == distinct[inside]
+        self.met[at[known]] = True
         if not known.all():
             bases = np.cumsum([0, *firsts])
             unknown = first[~known]
@@ -97,11 +123,11 @@ class UnitEncoder:
             self._learn(distinct[~known], new)
             at = np.searchsorted(self.hashes, distinct)
         begins, counts = self.begins[at][which], self.counts[at][which]
-        through = np.cumsum(counts)
+        through = np.cumsum(counts, dtype=np.int64)
         total = int(through[-1]) if len(through) else 0
         ids = self.ids[np.repeat(begins - (through - counts), counts) + np.arange(total)]
-        if len(self.hashes) > UNITS:
-            self._forget()
+        if self._is_full():
+            self._shrink()
         ends = np.concatenate([[0], through])[np.cumsum(np.concatenate(units_of))]
         return np.split(ids, ends[:-1])
 

@@ -363,6 +363,43 @@ def test_pieces_forgotten_units_are_encoded_again(monkeypatch):
     assert [i.tolist() for i in by_units.encode_rows([t.encode() for t in texts])] == theirs.encode(texts, add_eos=True)
 
 
+def letters(number: int) -> str:
+    """A word of its own for each number."""
+    return "".join("aeinorstlu"[int(d)] for d in f"{number:06d}")
+
+
+def test_pieces_keep_the_units_they_meet_again(monkeypatch):
+    monkeypatch.setattr(units, "UNITS", 60)
+    by_units, asked = pieces.PieceUnits(pieces.load(MODEL)), []
+    encode_units = by_units.encode_units
+    monkeypatch.setattr(by_units, "encode_units", lambda found: asked.extend(found) or encode_units(found))
+    theirs = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for turn in range(40):
+        text = f"a common word {' '.join(letters(turn * 10 + i) for i in range(10))} stays"
+        assert by_units.encode_rows([text.encode()])[0].tolist() == theirs.encode(text, add_eos=True)
+        assert len(by_units.hashes) <= 60
+    assert asked.count(b" common") == 1
+
+
+@pytest.mark.parametrize("word", ["{0}", "x{0}y" * 60])
+def test_pieces_bound_what_a_worker_remembers(monkeypatch, word):
+    monkeypatch.setattr(units, "UNITS", 60)
+    by_units, theirs = pieces.PieceUnits(pieces.load(MODEL)), sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for turn in range(30):
+        text = " ".join(word.format("qjz"[i % 3] * (turn + 1)) for i in range(9))
+        assert by_units.encode_rows([text.encode()])[0].tolist() == theirs.encode(text, add_eos=True)
+        assert len(by_units.hashes) <= 60 and len(by_units.ids) <= 60 * 8
+
+
+def test_a_worker_that_encodes_pieces_stays_small():
+    by_units = pieces.PieceUnits(pieces.load(MODEL))
+    words = [letters(i) for i in range(700_000)]
+    for at in range(0, len(words), 50_000):
+        by_units.encode_rows([" ".join(words[i : i + 25_000]).encode() for i in (at, at + 25_000)])
+    held = sum(a.nbytes for a in vars(by_units).values() if isinstance(a, np.ndarray))
+    assert held < 16 << 20
+
+
 def test_pieces_over_a_table(spark):
     rows = pieces.decode(pieces.encode(odd(spark), MODEL), MODEL).collect()
     key = lambda r: (str(r["doc_id"]), r["text"])
